@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from orderlens.functions.agg import exact_avg
 from orderlens.functions.time import elapsed_minutes, week_bucket
 from orderlens.operators.calendar import key_range, zero_fill
-from orderlens.plans.orders import DELIVERED
+from orderlens.plans.orders import delivered
 
 
 def signups_by_week(spark: SparkSession, runners: DataFrame, start: dt.date, end: dt.date,
@@ -31,7 +31,7 @@ def signups_by_week(spark: SparkSession, runners: DataFrame, start: dt.date, end
 
 
 def _delivered_runs(runner_orders: DataFrame, *cols: str) -> DataFrame:
-    return runner_orders.filter(DELIVERED).select("order_id", *cols)
+    return runner_orders.filter(delivered()).select("order_id", *cols)
 
 
 def avg_pickup_minutes(customer_orders: DataFrame, runner_orders: DataFrame) -> DataFrame:
@@ -80,7 +80,7 @@ def speed(distance: str = "distance", duration: str = "duration") -> F.Column:
 
 def speed_by_delivery(runner_orders: DataFrame) -> DataFrame:
     """Q30: distance, duration and speed (distance per minute) per delivery."""
-    g = runner_orders.filter(DELIVERED).groupBy("runner_id", "order_id").agg(
+    g = runner_orders.filter(delivered()).groupBy("runner_id", "order_id").agg(
         F.min("distance").alias("distance"), F.min("duration").alias("duration"),
         F.avg(speed()).alias("avg_speed"))
     return g.orderBy("runner_id", "order_id")
@@ -93,6 +93,6 @@ def delivery_success_pct(runner_orders: DataFrame) -> DataFrame:
     conditional aggregate gives the same numbers from one scan.
     """
     g = runner_orders.groupBy("runner_id").agg(
-        F.count(F.lit(1)).alias("_all"), F.count_if(DELIVERED).alias("_ok"))
+        F.count(F.lit(1)).alias("_all"), F.count_if(delivered()).alias("_ok"))
     return g.select("runner_id", (F.try_divide(F.col("_ok").cast("double"), F.col("_all").cast("double"))
                                   * 100).alias("successful_delivery_percentage"))

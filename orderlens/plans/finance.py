@@ -12,7 +12,7 @@ from orderlens.functions.text import list_length
 from orderlens.functions.time import elapsed_minutes
 from orderlens.plans.composition import recipe_ingredients
 from orderlens.plans.delivery import speed
-from orderlens.plans.orders import DELIVERED
+from orderlens.plans.orders import delivered
 from orderlens.sources.sinks import conform
 
 # Declared schema of the ratings table. Ids are 64-bit here (the test data's
@@ -38,7 +38,7 @@ def _price_of(name: Column, prices: dict[str, int]) -> Column:
 
 def _delivered_lines(customer_orders: DataFrame, pizza_names: DataFrame,
                      runner_orders: DataFrame) -> DataFrame:
-    runs = runner_orders.filter(DELIVERED).select("order_id")
+    runs = runner_orders.filter(delivered()).select("order_id")
     return customer_orders.select("order_id", "pizza_id").join(pizza_names, "pizza_id").join(runs, "order_id")
 
 
@@ -78,8 +78,8 @@ def ratings_table(runner_orders: DataFrame, order_customers: DataFrame,
     write it with ``sources.sinks.write_table(df, path, RATINGS_SCHEMA)``.
     """
     rating = rating if rating is not None else (F.col("order_id") % 5 + 1)
-    delivered = runner_orders.filter(DELIVERED).select("order_id", "runner_id")
-    rows = delivered.join(order_customers.select("order_id", "customer_id"), "order_id")
+    runs = runner_orders.filter(delivered()).select("order_id", "runner_id")
+    rows = runs.join(order_customers.select("order_id", "customer_id"), "order_id")
     return conform(rows.withColumn("rating", rating), RATINGS_SCHEMA)
 
 
@@ -114,7 +114,7 @@ def delivery_report(customer_orders: DataFrame, runner_ratings: DataFrame,
 def net_revenue(customer_orders: DataFrame, pizza_names: DataFrame, runner_orders: DataFrame,
                 prices: dict[str, int], pay_per_distance: Decimal = RUNNER_PAY_PER_DISTANCE) -> DataFrame:
     """Q42: Q38 minus runner pay (``pay_per_distance`` x total delivered distance)."""
-    pay = runner_orders.filter(DELIVERED).agg(
+    pay = runner_orders.filter(delivered()).agg(
         (F.sum("distance") * F.lit(pay_per_distance)).alias("_pay"))
     rev = _sales_revenue(customer_orders, pizza_names, runner_orders, prices)
     return rev.crossJoin(F.broadcast(pay)).select(

@@ -11,13 +11,12 @@ gathered per customer is bounded by the number of distinct items.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from orderlens.functions.agg import collect_counted, concat_distinct, expand_counted
 from orderlens.functions.time import weekday_name
-from orderlens.operators.joins import not_in
-from orderlens.operators.ranking import dense_rank_by_distinct, keep_rank_one, top_one
+from orderlens.operators.ranking import keep_rank_one, top_one
 
 C, D, P, N, PRICE, J = "customer_id", "order_date", "product_id", "product_name", "price", "join_date"
 
@@ -123,26 +122,40 @@ def join_all(sales: DataFrame, menu: DataFrame, members: DataFrame, sort: bool =
     """Q11: every sale with a Y/N flag for membership at the time of sale.
 
     Sales of members are flagged by date (NULL join date -> NULL flag);
-    sales of customers NOT IN members are 'N' (SQL NOT IN rules, see
-    ``not_in``). Built as the reference's two branches: a member join and
-    a null-aware anti join.
+    sales of customers NOT IN members are 'N' under SQL NOT IN rules (a
+    NULL member key removes them all; a NULL sales key is removed unless
+    there are no members). The reference's two branches (member join, NOT
+    IN) are one left join here, so the sales are read once; the NOT IN
+    rules come from a one-row summary of members (see ``not_in``).
     """
     named = _named(sales, menu).select(C, D, N, PRICE)
-    flag = F.when(F.col(D) >= F.col(J), "Y").when(F.col(D) < F.col(J), "N")
-    of_members = members.join(named, C).select(C, D, N, PRICE, flag.alias("member"))
-    of_others = not_in(named, C, members, C).select(C, D, N, PRICE, F.lit("N").alias("member"))
-    out = of_members.unionByName(of_others)
+    mem = members.select(F.col(C).alias("_mc"), F.col(J), F.lit(True).alias("_matched"))
+    summary = members.agg(F.count(F.lit(1)).alias("_n_members"),
+                          F.count_if(F.col(C).isNull()).alias("_n_null"))
+    j = named.join(mem, named[C] == mem["_mc"], "left").crossJoin(F.broadcast(summary))
+    matched = F.col("_matched").isNotNull()
+    not_in_members = (F.col("_n_members") == 0) | ((F.col("_n_null") == 0) & F.col(C).isNotNull())
+    flag = (F.when(~matched, F.lit("N"))
+            .when(F.col(D) >= F.col(J), "Y").when(F.col(D) < F.col(J), "N"))
+    out = j.filter(matched | not_in_members).select(C, D, N, PRICE, flag.alias("member"))
     return out.orderBy(C, D) if sort else out
 
 
 def rank_all(sales: DataFrame, menu: DataFrame, members: DataFrame, sort: bool = True) -> DataFrame:
     """Q12: Q11 plus the dense rank of the order date among a customer's member
-    ('Y') rows; text 'null' for the other rows (so the column is text)."""
+    ('Y') rows; text 'null' for the other rows (so the column is text).
+
+    The ranks are computed over the distinct (customer, date) keys of the
+    'Y' rows (a customer's rows collapse to its dates before the window)
+    and joined back on (customer, date), so no customer's rows are sorted
+    in one task.
+    """
     rows = join_all(sales, menu, members, sort=False)
-    members_rows = dense_rank_by_distinct(rows.filter(F.col("member") == "Y"), [C], D, "_rank")
-    ranked = members_rows.select(C, D, N, PRICE, "member", F.col("_rank").cast("string").alias("ranking"))
-    others = rows.filter(F.col("member") == "N").withColumn("ranking", F.lit("null"))
-    out = others.unionByName(ranked)
+    keys = rows.filter(F.col("member") == "Y").select(C, D).distinct()
+    ranks = keys.withColumn("_rank", F.dense_rank().over(Window.partitionBy(C).orderBy(F.col(D).asc())))
+    out = rows.join(ranks, [C, D], "left").select(
+        C, D, N, PRICE, "member",
+        F.when(F.col("member") == "Y", F.col("_rank").cast("string")).otherwise(F.lit("null")).alias("ranking"))
     return out.orderBy(C, D) if sort else out
 
 
@@ -153,10 +166,22 @@ def visit_calendar(sales: DataFrame) -> DataFrame:
 
 
 def tried_before_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
-    """Q14: items (with repeats) and number of visit days before joining."""
+    """Q14: items (with repeats) and number of visit days before joining.
+
+    One pass: every sale emits an item fact and a date fact, both counted
+    per (customer, kind, value) map-side; the per-customer step then
+    collects the item counts (bounded by distinct items) and counts the
+    distinct dates.
+    """
     j = sales.join(members, C).join(menu, P).filter(F.col(D) < F.col(J))
-    per_day_item = j.groupBy(C, D, N).agg(F.count(F.lit(1)).alias("_n"))
-    items = (per_day_item.groupBy(C, N).agg(F.sum("_n").alias("_n"))
-             .groupBy(C).agg(expand_counted(collect_counted(N, "_n")).alias("items_tried")))
-    visits = per_day_item.groupBy(C).agg(F.count_distinct(D).alias("no_of_visits"))
-    return items.join(visits, C)
+    facts = j.select(C, F.explode(F.array(
+        F.struct(F.lit("item").alias("_kind"), F.col(N).alias("_value")),
+        F.struct(F.lit("day").alias("_kind"), F.col(D).cast("string").alias("_value")))).alias("_f"))
+    counted = facts.groupBy(C, F.col("_f._kind").alias("_kind"), F.col("_f._value").alias("_value")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    is_item = F.col("_kind") == "item"
+    return counted.groupBy(C).agg(
+        expand_counted(F.array_sort(F.collect_list(F.when(
+            is_item, F.struct(F.col("_value").alias("value"), F.col("_n").cast("int").alias("n"))))))
+        .alias("items_tried"),
+        F.count_if(~is_item & F.col("_value").isNotNull()).alias("no_of_visits"))

@@ -20,12 +20,15 @@ from orderlens.functions.time import weekday_name
 from orderlens.operators.calendar import weekday_list, zero_fill
 from orderlens.operators.ranking import top_one
 
-DELIVERED = F.col("cancellation").isNull()
+
+def delivered() -> F.Column:
+    """True for a runner row of a delivered (not cancelled) order."""
+    return F.col("cancellation").isNull()
 
 
 def delivered_orders(runner_orders: DataFrame) -> DataFrame:
     """Runner rows of delivered orders (order_id only)."""
-    return runner_orders.filter(DELIVERED).select("order_id")
+    return runner_orders.filter(delivered()).select("order_id")
 
 
 def order_lines_total(customer_orders: DataFrame) -> DataFrame:
@@ -40,7 +43,7 @@ def unique_customers(customer_orders: DataFrame) -> DataFrame:
 
 def deliveries_by_runner(runner_orders: DataFrame) -> DataFrame:
     """Q17: delivered orders per runner."""
-    return runner_orders.filter(DELIVERED).groupBy("runner_id").agg(
+    return runner_orders.filter(delivered()).groupBy("runner_id").agg(
         F.count(F.lit(1)).alias("orders_delivered"))
 
 
@@ -88,7 +91,7 @@ def both_modifiers(customer_orders: DataFrame, runner_orders: DataFrame) -> Data
     per-order summary so the lines are joined once.
     """
     per_order = runner_orders.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("_rows"), F.max(DELIVERED.cast("int")).alias("_ok"))
+        F.count(F.lit(1)).alias("_rows"), F.max(delivered().cast("int")).alias("_ok"))
     lines = customer_orders.filter(F.col("exclusions").isNotNull() & F.col("extras").isNotNull())
     j = lines.select("order_id").join(per_order.filter(F.col("_ok") == 1), "order_id")
     return j.agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint")
