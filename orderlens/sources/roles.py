@@ -96,63 +96,11 @@ class RoleTables:
 
     @cached_property
     def customer_orders_raw(self) -> DataFrame:
-        li = self._t("lineitem").select("l_orderkey", "l_partkey", "l_suppkey",
-                                        "l_linenumber", "l_returnflag")
-        o = self._t("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-        sk = F.col("l_suppkey")
-        ln = F.col("l_linenumber")
-        exclusions = (F.when(ln == 1, F.lit(""))
-                      .when(ln == 2, F.lit("null"))
-                      .when(ln == 3, F.lit(None).cast("string"))
-                      .when(ln == 4, _s(sk))
-                      .when(ln == 5, F.concat(_s(sk), F.lit(", "), _s((sk + 1) % 10)))
-                      .otherwise(F.lit("")))
-        rf = F.col("l_returnflag")
-        extras = (F.when(rf == "R", F.concat(_s((sk + 3) % 10), F.lit(", "), _s(sk)))
-                  .when(rf == "A", F.lit("null"))
-                  .otherwise(F.lit("")))
-        order_time = F.timestamp_add("MINUTE", (F.col("l_orderkey") % 1440).cast("int"),
-                                     F.col("o_orderdate"))
-        return li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
-            F.col("l_orderkey").alias("order_id"),
-            F.col("o_custkey").alias("customer_id"),
-            F.col("l_partkey").alias("pizza_id"),
-            exclusions.alias("exclusions"),
-            extras.alias("extras"),
-            order_time.alias("order_time"),
-        )
+        return customer_orders_from(self._t("lineitem"), self._t("orders"))
 
     @cached_property
     def runner_orders_raw(self) -> DataFrame:
-        o = self._t("orders").select("o_orderkey", "o_custkey", "o_orderdate")
-        k = F.col("o_orderkey")
-        m9 = k % 9
-        pickup = F.when(m9 == 0, F.lit("null")).otherwise(
-            _s(F.timestamp_add("MINUTE", (10 + k % 1500).cast("int"), F.col("o_orderdate"))))
-        dist_n = _s(5 + k % 40)
-        distance = (F.when(m9 == 0, F.lit("null"))
-                    .when(m9 == 1, F.concat(dist_n, F.lit("km")))
-                    .when(m9 == 2, F.concat(dist_n, F.lit(".4 km")))
-                    .when(m9 == 3, F.concat(dist_n, F.lit(".25km")))
-                    .otherwise(dist_n))
-        dur_n = _s(8 + k % 30)
-        duration = (F.when(m9 == 0, F.lit("null"))
-                    .when(m9 == 1, F.concat(dur_n, F.lit(" minutes")))
-                    .when(m9 == 2, F.concat(dur_n, F.lit("mins")))
-                    .otherwise(dur_n))
-        cancellation = (F.when(m9 == 0, F.lit("Customer Cancellation"))
-                        .when(m9 == 1, F.lit(""))
-                        .when(m9 == 2, F.lit("null"))
-                        .when(m9 == 3, F.lit(None).cast("string"))
-                        .otherwise(F.lit("")))
-        return o.select(
-            k.alias("order_id"),
-            (F.col("o_custkey") % RUNNER_COUNT).alias("runner_id"),
-            pickup.alias("pickup_time"),
-            distance.alias("distance"),
-            duration.alias("duration"),
-            cancellation.alias("cancellation"),
-        )
+        return runner_orders_from(self._t("orders"))
 
     # -- cleaned delivery facts (K1-K9) ----------------------------------
     @cached_property
@@ -172,3 +120,66 @@ class RoleTables:
         o = self._t("orders").select(F.col("o_orderkey").alias("order_id"),
                                      F.col("o_custkey").alias("customer_id"))
         return ratings_table(self.runner_orders, o)
+
+
+def customer_orders_from(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """Raw (uncleaned) order lines from lineitem x orders. Works on a
+    streaming ``lineitem`` too (stream-static join)."""
+    li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
+    o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    sk = F.col("l_suppkey")
+    ln = F.col("l_linenumber")
+    exclusions = (F.when(ln == 1, F.lit(""))
+                  .when(ln == 2, F.lit("null"))
+                  .when(ln == 3, F.lit(None).cast("string"))
+                  .when(ln == 4, _s(sk))
+                  .when(ln == 5, F.concat(_s(sk), F.lit(", "), _s((sk + 1) % 10)))
+                  .otherwise(F.lit("")))
+    rf = F.col("l_returnflag")
+    extras = (F.when(rf == "R", F.concat(_s((sk + 3) % 10), F.lit(", "), _s(sk)))
+              .when(rf == "A", F.lit("null"))
+              .otherwise(F.lit("")))
+    order_time = F.timestamp_add("MINUTE", (F.col("l_orderkey") % 1440).cast("int"), F.col("o_orderdate"))
+    return li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
+        F.col("l_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("customer_id"),
+        F.col("l_partkey").alias("pizza_id"),
+        exclusions.alias("exclusions"),
+        extras.alias("extras"),
+        order_time.alias("order_time"),
+    )
+
+
+def runner_orders_from(orders: DataFrame) -> DataFrame:
+    """Raw (uncleaned) runner rows, one per order: dirty text columns with
+    unit suffixes and 'null' / '' sentinels. A pure projection, so it also
+    works on a streaming ``orders``."""
+    o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    k = F.col("o_orderkey")
+    m9 = k % 9
+    pickup = F.when(m9 == 0, F.lit("null")).otherwise(
+        _s(F.timestamp_add("MINUTE", (10 + k % 1500).cast("int"), F.col("o_orderdate"))))
+    dist_n = _s(5 + k % 40)
+    distance = (F.when(m9 == 0, F.lit("null"))
+                .when(m9 == 1, F.concat(dist_n, F.lit("km")))
+                .when(m9 == 2, F.concat(dist_n, F.lit(".4 km")))
+                .when(m9 == 3, F.concat(dist_n, F.lit(".25km")))
+                .otherwise(dist_n))
+    dur_n = _s(8 + k % 30)
+    duration = (F.when(m9 == 0, F.lit("null"))
+                .when(m9 == 1, F.concat(dur_n, F.lit(" minutes")))
+                .when(m9 == 2, F.concat(dur_n, F.lit("mins")))
+                .otherwise(dur_n))
+    cancellation = (F.when(m9 == 0, F.lit("Customer Cancellation"))
+                    .when(m9 == 1, F.lit(""))
+                    .when(m9 == 2, F.lit("null"))
+                    .when(m9 == 3, F.lit(None).cast("string"))
+                    .otherwise(F.lit("")))
+    return o.select(
+        k.alias("order_id"),
+        (F.col("o_custkey") % RUNNER_COUNT).alias("runner_id"),
+        pickup.alias("pickup_time"),
+        distance.alias("distance"),
+        duration.alias("duration"),
+        cancellation.alias("cancellation"),
+    )

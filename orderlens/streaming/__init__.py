@@ -1,0 +1,10 @@
+from orderlens.streaming.incremental import (
+    file_stream,
+    running_deliveries_by_runner,
+    running_success_by_runner,
+    running_volume_by_weekday,
+    start,
+)
+
+__all__ = ["file_stream", "running_deliveries_by_runner", "running_success_by_runner",
+           "running_volume_by_weekday", "start"]

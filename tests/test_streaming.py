@@ -1,0 +1,56 @@
+"""The streaming totals equal the batch pipelines over the same files."""
+
+import os
+import shutil
+import tempfile
+
+import pytest
+from conftest import rows
+
+from orderlens.plans import delivery as V
+from orderlens.plans import orders as O
+from orderlens.sources.roles import RoleTables
+from orderlens.streaming import incremental as S
+
+SMALL = "/root/testdata/sf0.001"
+
+
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="test data not present")
+def test_streaming_totals_match_batch(spark):
+    work = tempfile.mkdtemp(prefix="orderlens-stream-")
+    orders_dir = os.path.join(work, "orders")
+    os.makedirs(orders_dir)
+    shutil.copy(os.path.join(SMALL, "orders.parquet"), os.path.join(orders_dir, "part-0.parquet"))
+
+    stream = S.file_stream(spark, orders_dir)
+    q1 = S.start(S.running_deliveries_by_runner(stream), "deliveries_stream",
+                 checkpoint=os.path.join(work, "ck1"))
+    q2 = S.start(S.running_success_by_runner(stream), "success_stream",
+                 checkpoint=os.path.join(work, "ck2"))
+    try:
+        q1.processAllAvailable()
+        q2.processAllAvailable()
+        t = RoleTables(spark, SMALL)
+        assert rows(spark.table("deliveries_stream")) == rows(O.deliveries_by_runner(t.runner_orders))
+        got = {r["runner_id"]: r["successful_delivery_percentage"] for r in spark.table("success_stream").collect()}
+        want = dict(rows(V.delivery_success_pct(t.runner_orders)))
+        assert got == want
+    finally:
+        q1.stop()
+        q2.stop()
+
+
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="test data not present")
+def test_streaming_weekday_volume(spark):
+    work = tempfile.mkdtemp(prefix="orderlens-stream-")
+    li_dir = os.path.join(work, "lineitem")
+    os.makedirs(li_dir)
+    shutil.copy(os.path.join(SMALL, "lineitem.parquet"), os.path.join(li_dir, "part-0.parquet"))
+    orders = spark.read.parquet(os.path.join(SMALL, "orders.parquet"))
+    out = os.path.join(work, "weekday_totals")
+    q = S.start(S.running_volume_by_weekday(S.file_stream(spark, li_dir), orders), "weekday_stream",
+                sink="parquet", path=out, checkpoint=os.path.join(work, "ck"), trigger_once=True)
+    q.awaitTermination(300)
+    t = RoleTables(spark, SMALL)
+    batch = {n: c for n, c in rows(O.volume_by_weekday(spark, t.customer_orders)) if c > 0}
+    assert dict(rows(spark.read.parquet(out))) == batch
