@@ -37,25 +37,28 @@ def _plan(df) -> str:
 
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="test data not present")
 def test_plan_shapes(spark):
-    """No single-partition shuffle except for global aggregates / sorts,
-    no nested-loop join except one-row scalar sides, no Python UDF."""
-    allowed_single = {"order_lines_total", "unique_customers", "max_lines_per_order", "both_modifiers",
-                      "duration_spread", "top_item", "most_common_extra", "most_common_exclusion",
-                      "revenue", "revenue_with_extras", "net_revenue", "add_product"}
-    allowed_nlj = {"join_all", "rank_all", "revenue_with_extras", "net_revenue"}
+    """No single-partition shuffle except for global (one-row) aggregates,
+    no nested-loop join except against one-row summaries, no Python UDF."""
+    one_row = {"order_lines_total", "unique_customers", "both_modifiers", "duration_spread", "revenue",
+               "revenue_with_extras", "net_revenue", "add_product",
+               "join_all", "rank_all"}            # NOT IN summary of members
+    nlj = {"join_all", "rank_all", "revenue_with_extras", "net_revenue"}
+    bad = []
     for k, q in E.queries().items():
         plan = _plan(q(spark, SMALL))
-        assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, k
-        if "SinglePartition" in plan:
-            assert k in allowed_single, (k, plan)
-        if "BroadcastNestedLoopJoin" in plan:
-            assert k in allowed_nlj, (k, plan)
+        if "PythonUDF" in plan or "BatchEvalPython" in plan or "ArrowEvalPython" in plan:
+            bad.append((k, "python udf"))
+        if "SinglePartition" in plan and k not in one_row:
+            bad.append((k, "single partition"))
+        if "BroadcastNestedLoopJoin" in plan and k not in nlj:
+            bad.append((k, "nested loop join"))
+    assert not bad, bad
 
 
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="test data not present")
 def test_scans_are_pruned(spark):
     plan = _plan(E.queries()["deliveries_by_runner"](spark, SMALL))
     # only the orders columns the runner role needs are read
-    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderdate:timestamp_ntz>" in plan
+    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
     plan = _plan(E.queries()["totals_before_join"](spark, SMALL))
     assert "PushedFilters: [IsNotNull(c_mktsegment), EqualTo(c_mktsegment,BUILDING)" in plan
