@@ -62,3 +62,11 @@ def test_scans_are_pruned(spark):
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan
     plan = _plan(E.queries()["totals_before_join"](spark, SMALL))
     assert "PushedFilters: [IsNotNull(c_mktsegment), EqualTo(c_mktsegment,BUILDING)" in plan
+
+
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="test data not present")
+def test_rank_one_is_limited_map_side(spark):
+    """dense_rank() = 1 is planned as WindowGroupLimit (rows beyond rank 1
+    are dropped inside each map task, before the shuffle)."""
+    for k in ("first_items", "favourite_items", "first_after_join", "last_before_join"):
+        assert "WindowGroupLimit" in _plan(E.queries()[k](spark, SMALL)), k
