@@ -39,15 +39,19 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if spark.sparkContext.master.startswith("local") or spark.sparkContext.getConf().get(
+            "spark.checkpoint.dir", None):
+        ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting points at shared storage and is used as is.
-    Only when it is unset (local tests) a scratch folder is created.
+    On a cluster this setting points at shared storage and is used as is;
+    if it is missing there, this fails instead of falling back to a folder
+    that only one machine can see. Only for a local master (tests, bench)
+    is a scratch folder created when the setting is unset.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,6 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         configured = tempfile.mkdtemp(prefix="orderlens-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
