@@ -150,7 +150,9 @@ def rank_all(sales: DataFrame, menu: DataFrame, members: DataFrame, sort: bool =
     and joined back on (customer, date), so no customer's rows are sorted
     in one task.
     """
-    rows = join_all(sales, menu, members, sort=False)
+    # Rows whose flag is NULL (member with a NULL join date) are in neither
+    # the 'Y' nor the 'N' part, so they are left out, as in the reference.
+    rows = join_all(sales, menu, members, sort=False).filter(F.col("member").isNotNull())
     keys = rows.filter(F.col("member") == "Y").select(C, D).distinct()
     ranks = keys.withColumn("_rank", F.dense_rank().over(Window.partitionBy(C).orderBy(F.col(D).asc())))
     out = rows.join(ranks, [C, D], "left").select(

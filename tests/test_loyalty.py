@@ -105,3 +105,14 @@ def test_visit_calendar(spark):
     got = rows(L.visit_calendar(sales), "customer_id", "order_date", "day")
     assert ("A", D(2021, 1, 1), "Friday") in got and ("A", D(2021, 1, 7), "Thursday") in got
     assert len(got) == 6 + 5 + 2 + 1
+
+
+def test_null_join_date_rows(spark):
+    """A member with a NULL join date: its sales get a NULL flag in join_all
+    (no CASE branch applies) and belong to neither part of rank_all."""
+    sales, menu, members = loyalty(spark)
+    members = members.unionByName(spark.createDataFrame([("E", None)], members.schema))
+    flags = rows(L.join_all(sales, menu, members), "customer_id", "member")
+    assert [m for c, m in flags if c == "E"] == [None, None]
+    ranked = rows(L.rank_all(sales, menu, members), "customer_id")
+    assert "E" not in {c for (c,) in ranked} and len(ranked) == 16
