@@ -107,13 +107,13 @@ def points_promo_window(sales: DataFrame, menu: DataFrame, members: DataFrame, p
     Rows no branch covers (NULL name outside the window, NULL join date)
     add nothing."""
     d, jd, name, price = F.col(D), F.col(J), F.col(N), F.col(PRICE)
+    promo_rate = points_per_unit * promo_multiplier
+    # The item's usual rate; NULL for a NULL name (neither promo nor other).
+    rate = F.when(name == promo_item, promo_rate).when(name != promo_item, points_per_unit)
     end = F.date_add(jd, window_days - 1)
-    hi, lo = price * (points_per_unit * promo_multiplier), price * points_per_unit
-    pts = (F.when((d < jd) & (name == promo_item), hi)
-           .when((d < jd) & (name != promo_item), lo)
-           .when(d.between(jd, end), hi)
-           .when((d > end) & (name == promo_item), hi)
-           .when((d > end) & (name != promo_item), lo))
+    pts = (F.when(d < jd, price * rate)
+           .when(d.between(jd, end), price * promo_rate)
+           .when(d > end, price * rate))
     j = _member_sales(sales, menu, members).filter(F.month(d) == month)
     return j.groupBy(C).agg(F.sum(pts).alias("points")).orderBy(C)
 
