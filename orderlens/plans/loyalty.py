@@ -41,8 +41,9 @@ def visit_days(sales: DataFrame) -> DataFrame:
 
 def first_items(sales: DataFrame, menu: DataFrame) -> DataFrame:
     """Q3: distinct names of everything bought on each customer's first date."""
-    triples = _named(sales, menu).select(C, D, N).distinct()
-    firsts = keep_rank_one(triples, [C], [D])
+    # No dedup first: the rank-1 filter is applied map-side (WindowGroupLimit),
+    # so only rows on each customer's first date are shuffled.
+    firsts = keep_rank_one(_named(sales, menu).select(C, D, N), [C], [D])
     return firsts.groupBy(C).agg(concat_distinct(N).alias("first_item"))
 
 
