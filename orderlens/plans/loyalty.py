@@ -60,25 +60,24 @@ def favourite_items(sales: DataFrame, menu: DataFrame) -> DataFrame:
     return best.groupBy(C).agg(concat_distinct(N).alias("most_popular_item"))
 
 
-def _items_at_rank_one(j: DataFrame, descending: bool) -> DataFrame:
-    counts = j.groupBy(C, D, N).agg(F.count(F.lit(1)).alias("_n"))
-    return keep_rank_one(counts, [C], [D], descending=descending)
-
-
 def first_after_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
-    """Q6: items bought on the first date strictly after joining, one row per sale."""
-    j = _member_sales(sales, menu, members).filter(F.col(D) > F.col(J))
-    firsts = _items_at_rank_one(j, descending=False)
-    return firsts.select(C, F.explode(F.array_repeat(F.col(N), F.col("_n").cast("int")))
-                         .alias("first_item_purchased"))
+    """Q6: items bought on the first date strictly after joining, one row per sale.
+
+    The rank-1 filter runs map-side (WindowGroupLimit) on the sales rows, so
+    only rows on each customer's first such date are shuffled.
+    """
+    j = _member_sales(sales, menu, members).filter(F.col(D) > F.col(J)).select(C, D, N)
+    return keep_rank_one(j, [C], [D]).select(C, F.col(N).alias("first_item_purchased"))
 
 
 def last_before_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
     """Q7: items bought on the last date strictly before joining, joined as text
-    with repeats (output name as in the reference)."""
-    j = _member_sales(sales, menu, members).filter(F.col(D) < F.col(J))
-    lasts = _items_at_rank_one(j, descending=True)
-    return lasts.groupBy(C).agg(expand_counted(collect_counted(N, "_n")).alias("first_item_purchased"))
+    with repeats (output name as in the reference). The surviving rows are
+    counted per item before they are gathered per customer."""
+    j = _member_sales(sales, menu, members).filter(F.col(D) < F.col(J)).select(C, D, N)
+    lasts = keep_rank_one(j, [C], [D], descending=True)
+    counted = lasts.groupBy(C, N).agg(F.count(F.lit(1)).alias("_n"))
+    return counted.groupBy(C).agg(expand_counted(collect_counted(N, "_n")).alias("first_item_purchased"))
 
 
 def totals_before_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
