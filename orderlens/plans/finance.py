@@ -36,24 +36,31 @@ def _price_of(name: Column, prices: dict[str, int]) -> Column:
     return expr.otherwise(F.lit(0))
 
 
-def _delivered_lines(customer_orders: DataFrame, pizza_names: DataFrame,
-                     runner_orders: DataFrame) -> DataFrame:
-    runs = runner_orders.filter(delivered()).select("order_id")
-    return customer_orders.select("order_id", "pizza_id").join(pizza_names, "pizza_id").join(runs, "order_id")
-
-
-def _sales_revenue(customer_orders: DataFrame, pizza_names: DataFrame, runner_orders: DataFrame,
-                   prices: dict[str, int]) -> DataFrame:
-    lines = _delivered_lines(customer_orders, pizza_names, runner_orders)
-    return lines.agg(F.coalesce(F.sum(_price_of(F.col("pizza_name"), prices)), F.lit(0))
-                     .cast("bigint").alias("_revenue"))
+def _line_totals(customer_orders: DataFrame, pizza_names: DataFrame, runner_orders: DataFrame,
+                 prices: dict[str, int]) -> DataFrame:
+    """One pass over the lines: revenue of delivered lines (a line counts
+    once per delivered runner row of its order, as an inner join would)
+    and the number of listed extras over all lines (NULL if none).
+
+    Prices are summed per product id and delivered rows counted per order
+    first, so each line meets one row of each; no line is read twice.
+    """
+    priced = (pizza_names.filter(F.col("pizza_name").isin(list(prices)))
+              .groupBy("pizza_id").agg(F.sum(_price_of(F.col("pizza_name"), prices)).alias("_price")))
+    runs = runner_orders.groupBy("order_id").agg(F.count_if(delivered()).alias("_runs"))
+    lines = (customer_orders.select("order_id", "pizza_id", "extras")
+             .join(priced, "pizza_id", "left")
+             .join(runs, "order_id", "left"))
+    value = F.coalesce(F.col("_price"), F.lit(0)) * F.coalesce(F.col("_runs"), F.lit(0))
+    return lines.agg(F.coalesce(F.sum(value), F.lit(0)).cast("bigint").alias("_revenue"),
+                     F.sum(list_length("extras")).cast("bigint").alias("_extras"))
 
 
 def revenue(customer_orders: DataFrame, pizza_names: DataFrame, runner_orders: DataFrame,
             prices: dict[str, int]) -> DataFrame:
     """Q38: fixed price per named product over delivered lines; other
-    products add nothing. One conditional sum over one join."""
-    return _sales_revenue(customer_orders, pizza_names, runner_orders, prices).select(
+    products add nothing."""
+    return _line_totals(customer_orders, pizza_names, runner_orders, prices).select(
         F.col("_revenue").alias("money_made_so_far"))
 
 
@@ -61,12 +68,9 @@ def revenue_with_extras(customer_orders: DataFrame, pizza_names: DataFrame, runn
                         prices: dict[str, int], extra_charge: int = 1) -> DataFrame:
     """Q39: Q38 plus ``extra_charge`` per listed extra over all lines
     (cancelled included, as in the reference); NULL when no line has
-    extras. Two one-row aggregates, cross-joined."""
-    extras = customer_orders.filter(F.col("extras").isNotNull()).agg(
-        (F.sum(list_length("extras")) * extra_charge).cast("bigint").alias("_extras"))
-    rev = _sales_revenue(customer_orders, pizza_names, runner_orders, prices)
-    return rev.crossJoin(F.broadcast(extras)).select(
-        (F.col("_revenue") + F.col("_extras")).alias("money_made_so_far"))
+    extras. Both totals come from the same pass over the lines."""
+    return _line_totals(customer_orders, pizza_names, runner_orders, prices).select(
+        (F.col("_revenue") + F.col("_extras") * extra_charge).alias("money_made_so_far"))
 
 
 def ratings_table(runner_orders: DataFrame, order_customers: DataFrame,
@@ -116,7 +120,7 @@ def net_revenue(customer_orders: DataFrame, pizza_names: DataFrame, runner_order
     """Q42: Q38 minus runner pay (``pay_per_distance`` x total delivered distance)."""
     pay = runner_orders.filter(delivered()).agg(
         (F.sum("distance") * F.lit(pay_per_distance)).alias("_pay"))
-    rev = _sales_revenue(customer_orders, pizza_names, runner_orders, prices)
+    rev = _line_totals(customer_orders, pizza_names, runner_orders, prices)
     return rev.crossJoin(F.broadcast(pay)).select(
         (F.col("_revenue") - F.col("_pay")).alias("money_made_so_far"))
 

@@ -5,22 +5,38 @@ orders without runner rows): every pipeline against its oracle body run by
 DuckDB on the same rows."""
 
 import datetime as dt
-import os
+import math
 import random
-import sys
 from decimal import Decimal
 from types import SimpleNamespace
 
 import duckdb
+import pandas as pd
 import pyarrow as pa
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, example, given, settings
 from hypothesis import strategies as st
 
 from orderlens.plans.oracle import ORACLE_PARTS
 from orderlens.plans.registry import _BUILDERS, present
 
-sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
-from check_oracle import rows_of  # noqa: E402
+
+def _by_value(v):
+    """Numbers by value: pandas gives Spark's integer columns with NULLs as
+    float64 and DuckDB's as nullable Int64; the values are what is compared."""
+    if v is None or v is pd.NA or (isinstance(v, float) and math.isnan(v)):
+        return None
+    if hasattr(v, "item"):
+        v = v.item()
+    if isinstance(v, (int, float)) and not isinstance(v, bool):
+        return repr(float(v))
+    return repr(v)
+
+
+def _rows(df: pd.DataFrame) -> list[tuple]:
+    cols = sorted(df.columns)
+    out = [tuple(_by_value(x) for x in r) for r in df[cols].itertuples(index=False, name=None)]
+    return sorted(out, key=lambda r: tuple("" if x is None else x for x in r))
+
 
 D = dt.date
 LOYALTY = ["spend_by_customer", "visit_days", "first_items", "top_item", "favourite_items", "first_after_join",
@@ -98,8 +114,8 @@ def _compare(spark, tables, keys):
     t = SimpleNamespace(**frames)
     bad = {}
     for k in keys:
-        got = rows_of(present(_BUILDERS[k](spark, t)).toPandas())
-        want = rows_of(con.sql(ORACLE_PARTS[k][0]).df())
+        got = _rows(present(_BUILDERS[k](spark, t)).toPandas())
+        want = _rows(con.sql(ORACLE_PARTS[k][0]).df())
         if got != want:
             bad[k] = (got[:4], want[:4])
     return bad
@@ -114,6 +130,7 @@ def test_loyalty_semantics_random(spark, seed):
 
 @settings(max_examples=2, deadline=None, suppress_health_check=list(HealthCheck))
 @given(seed=st.integers(0, 100_000))
+@example(seed=1)
 def test_delivery_semantics_random(spark, seed):
     tables = _delivery_rows(random.Random(seed))
     keys = [k for k in ORACLE_PARTS if k not in LOYALTY and k not in ("clean_runner_orders",
