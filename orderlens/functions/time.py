@@ -19,8 +19,13 @@ def weekday_name(c: str | Column) -> Column:
 
 
 def elapsed_minutes(start: str | Column, end: str | Column) -> Column:
-    """Whole minutes from start to end, truncated toward zero (10m59s -> 10)."""
-    return F.timestamp_diff("MINUTE", col_of(start), col_of(end))
+    """Whole minutes from start to end, truncated toward zero (10m59s -> 10).
+
+    Computed from the difference interval: for timestamp_ntz values that is
+    wall-clock time, independent of the session time zone (timestamp_diff
+    goes through the session zone and moves times inside a DST gap).
+    """
+    return (col_of(end) - col_of(start)).cast("interval minute").cast("bigint")
 
 
 def week_bucket(c: str | Column, start: dt.date, end: dt.date, days: int = 7) -> Column:

@@ -25,15 +25,20 @@ NEW_PRODUCT_TOPPINGS = "1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12"
 
 def present(df: DataFrame) -> DataFrame:
     """Decimals -> double, dates -> 'yyyy-MM-dd', timestamps ->
-    'yyyy-MM-dd HH:mm:ss'; other types unchanged. Row order is kept."""
+    'yyyy-MM-dd HH:mm:ss' (wall clock for timestamp_ntz, session zone for
+    timestamp); other types unchanged. Row order is kept."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, DecimalType):
             c = c.cast("double")
         elif isinstance(f.dataType, DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
-        elif isinstance(f.dataType, (TimestampType, TimestampNTZType)):
+            c = c.cast("string")                              # no time zone involved
+        elif isinstance(f.dataType, TimestampNTZType):
+            # Wall-clock text without a zone: date_format would first convert
+            # to a session-zone instant and move times inside a DST gap.
+            c = F.substring(c.cast("string"), 1, 19)
+        elif isinstance(f.dataType, TimestampType):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         cols.append(c.alias(f.name))
     return df.select(*cols)

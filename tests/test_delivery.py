@@ -110,3 +110,19 @@ def test_elapsed_minutes_truncates_toward_zero(spark):
                                "a timestamp_ntz, b timestamp_ntz")
     r = df.select(elapsed_minutes("a", "b").alias("f"), elapsed_minutes("b", "a").alias("r")).first()
     assert (r["f"], r["r"]) == (10, -10)
+
+
+def test_wall_clock_under_other_session_zone(spark):
+    """timestamp_ntz values are wall-clock times: minutes and presented text
+    do not move when the session zone has a DST gap at that time."""
+    from orderlens.functions.time import elapsed_minutes
+    from orderlens.plans.registry import present
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([(dt.datetime(2001, 4, 1, 7, 23), dt.datetime(2001, 4, 1, 2, 33))],
+                                   "a timestamp_ntz, b timestamp_ntz")
+        r = present(df.select("b", elapsed_minutes("a", "b").alias("m"))).first()
+        assert (r["b"], r["m"]) == ("2001-04-01 02:33:00", -290)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
