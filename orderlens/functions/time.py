@@ -9,13 +9,16 @@ from pyspark.sql import functions as F
 
 from orderlens.functions.text import col_of
 
-# Fixed value: a Sunday, used to derive weekday names in Sunday-first order.
+# A Sunday (start of the Sunday-first weekday list) and the
+# English weekday names in dayofweek order (1 = Sunday).
 SUNDAY = dt.date(1970, 1, 4)
+WEEKDAY_NAMES = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday")
 
 
 def weekday_name(c: str | Column) -> Column:
-    """Full English weekday name ("Monday")."""
-    return F.date_format(col_of(c), "EEEE")
+    """Full English weekday name ("Monday") of the calendar date of ``c``
+    (no time-zone conversion of timestamp_ntz values)."""
+    return F.element_at(F.array(*[F.lit(n) for n in WEEKDAY_NAMES]), F.dayofweek(col_of(c).cast("date")))
 
 
 def elapsed_minutes(start: str | Column, end: str | Column) -> Column:
