@@ -18,7 +18,11 @@ WEEKDAY_NAMES = ("Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday
 def weekday_name(c: str | Column) -> Column:
     """Full English weekday name ("Monday") of the calendar date of ``c``
     (no time-zone conversion of timestamp_ntz values)."""
-    return F.element_at(F.array(*[F.lit(n) for n in WEEKDAY_NAMES]), F.dayofweek(col_of(c).cast("date")))
+    dow = F.dayofweek(col_of(c).cast("date"))
+    name = F.when(dow == 1, F.lit(WEEKDAY_NAMES[0]))
+    for i, n in enumerate(WEEKDAY_NAMES[1:], start=2):
+        name = name.when(dow == i, F.lit(n))
+    return name                     # NULL date -> NULL
 
 
 def elapsed_minutes(start: str | Column, end: str | Column) -> Column:

@@ -52,3 +52,8 @@ def test_week_bucket_edges(spark):
     got = [r[0] for r in df.select(week_bucket("d", D(2021, 1, 1), D(2021, 1, 31))).collect()]
     assert got == [1, 1, 2, 2, 3, 4, 5, 5, None, None]
     assert df.select(weekday_name("d")).first()[0] == "Friday"
+
+
+def test_weekday_name_of_null_is_null(spark):
+    df = spark.createDataFrame([(None,), (D(2021, 1, 3),)], "d date")
+    assert [r[0] for r in df.select(weekday_name("d")).collect()] == [None, "Sunday"]

@@ -123,6 +123,7 @@ def _compare(spark, tables, keys):
 
 @settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
 @given(seed=st.integers(0, 100_000))
+@example(seed=0)
 def test_loyalty_semantics_random(spark, seed):
     tables = _loyalty_rows(random.Random(seed))
     assert _compare(spark, tables, LOYALTY) == {}
