@@ -3,12 +3,30 @@ SQL can express."""
 
 from __future__ import annotations
 
+from orderlens.llm.jaccard import OP2_SQL, op2_jaccard
+from orderlens.llm.lexicon import op10_bpe
+from orderlens.llm.linededup import OP3_SQL, op3_line_dedup
 from orderlens.llm.packing import op9_packing
+from orderlens.llm.quality import op6_quality
+from orderlens.llm.secretscan import op8_secrets
 from orderlens.llm.tokenfile import op5_token_file
+from orderlens.llm.topk import OP1_SQL, op1_topk
+from orderlens.llm.urlfilter import op7_url_filter
 
 QUERIES = {
+    "op1_topk": op1_topk,
+    "op2_jaccard": op2_jaccard,
+    "op3_line_dedup": op3_line_dedup,
     "op5_token_file": op5_token_file,
+    "op6_quality": op6_quality,
+    "op7_url_filter": op7_url_filter,
+    "op8_secrets": op8_secrets,
     "op9_packing": op9_packing,
+    "op10_bpe": op10_bpe,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_topk": OP1_SQL,
+    "op2_jaccard": OP2_SQL,
+    "op3_line_dedup": OP3_SQL,
+}

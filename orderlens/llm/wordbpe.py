@@ -302,3 +302,30 @@ class WordEncoder:
 def encoder(path: str) -> WordEncoder:
     """One per Python worker."""
     return WordEncoder(path)
+
+
+def word_spans(texts: Iterable[str | None]):
+    """Texts -> (distinct words of up to MAX_WORD characters, how often each
+    occurs), one pair per chunk of texts."""
+    part, held = [], 0
+
+    def chunk():
+        end = (_END_CHAR).to_bytes(4, "little")
+        points = np.frombuffer(b"".join(x for t in part for x in (t.encode("utf-32-le"), end)), np.uint32)
+        kinds = _classes()[points]
+        starts = np.flatnonzero(word_starts(points, kinds))
+        lengths = np.diff(np.append(starts, len(points)))
+        real = (kinds[starts] != END) & (lengths <= MAX_WORD)
+        starts, lengths = starts[real], lengths[real]
+        _, at, n = np.unique(word_keys(points, starts, lengths), return_index=True, return_counts=True)
+        return Words(points, starts[at], lengths[at]), n
+
+    for t in texts:
+        t = t or ""
+        part.append(t)
+        held += len(t) + 1
+        if held >= _CHUNK_CHARS:
+            yield chunk()
+            part, held = [], 0
+    if part:
+        yield chunk()
