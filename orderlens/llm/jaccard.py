@@ -409,15 +409,17 @@ def meet_deletions(pairs: int):
 # --- Spark -----------------------------------------------------------------
 
 def described(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, text) -> doc_id, n, dk, dr: size and content of the set."""
+    """(doc_id, text) -> doc_id, text_hash, n, dk, dr: size and content of the
+    set."""
     def make(batches):
         for b in batches:
             sets = [(len(s), *content(s)) for s in shingle_sets(b.column(1).to_pylist(), words)]
-            yield pa.record_batch([b.column(0), *(pa.array([s[i] for s in sets], pa.int64()) for i in range(3))],
-                                  names=["doc_id", "n", "dk", "dr"])
+            yield pa.record_batch([b.column(0), b.column(2), *(pa.array([s[i] for s in sets], pa.int64()) for i in range(3))],
+                                  names=["doc_id", "text_hash", "n", "dk", "dr"])
 
-    return (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-            .mapInArrow(make, "doc_id long, n long, dk long, dr long"))
+    text = F.col("text").cast("string")
+    return (docs.select(F.col("doc_id").cast("long"), text.alias("text"), F.xxhash64(text))
+            .mapInArrow(make, "doc_id long, text_hash long, n long, dk long, dr long"))
 
 
 def sets_of(docs: DataFrame, classes: DataFrame, keys: DataFrame, words: int) -> DataFrame:
@@ -488,7 +490,7 @@ def rare_pairs(left: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, group: int = GROUP, pairs: int = PAIRS) -> DataFrame:
-    """docs (doc_id, text) -> doc_id, n_shingles, component_id."""
+    """docs (doc_id, text) -> doc_id, n_shingles, component_id, text_hash."""
     members = written(described(docs, words), "members")
     real = members.filter("n > 0 AND doc_id IS NOT NULL")
     classes = written(real.groupBy("dk", "dr", "n").agg(F.min("doc_id").alias("rep")), "classes")
@@ -529,7 +531,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, group: int = GROUP,
                        .select("dk", "dr", "n", F.coalesce("component", "rep").alias("component_id")), "by_class")
     rows = members.join(by_class, ["dk", "dr", "n"], "left")
     return rows.select("doc_id", F.col("n").alias("n_shingles"),
-                       F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
+                       F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"), "text_hash")
 
 
 def _labels(links: DataFrame, sets: DataFrame) -> DataFrame:

@@ -72,7 +72,7 @@ def windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
             "transform(filter(_seq, i -> b[i] > 0 AND f[i - b[i] + 1] <> b[i]), i -> named_struct('i', i - b[i] + 1, 'n', b[i])))")
     return (lines.withColumn("runs", F.expr(runs))
             .select("doc_id", "text_hash", F.expr(
-                f"inline(transform(runs, r -> named_struct('name', unhex(md5(concat({pick}, CAST(r.n AS BINARY)))), "
+                f"inline(transform(runs, r -> named_struct('name', unhex(md5(concat({pick}, CAST(CAST(r.n AS STRING) AS BINARY)))), "
                 "'nth', r.i, 'a', places[r.i], 'z', places[r.i + r.n - 1])))")))
 
 

@@ -29,8 +29,9 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_CHARS = 200
 MIN_JUDGED_WORDS = 100
-MAX_CHAR_DISTANCE = 0.25
-MAX_WORD_DISTANCE = 0.45
+MAX_CHAR_DISTANCE = 0.3
+MAX_WORD_DISTANCE = 0.2          # plus WORD_NOISE / sqrt(words): a short text's counts scatter
+WORD_NOISE = 0.5
 REFERENCE_SHARE = 1000
 
 # Common words of four languages.
@@ -145,7 +146,7 @@ def judged(features: DataFrame, refs: DataFrame) -> DataFrame:
            .withColumn("word_distance", F.when((F.col("n_words") >= MIN_JUDGED_WORDS) & (F.size("common") > 1),
                                                distance("common", "own_common"))))
     far = (F.coalesce(F.col("char_distance"), F.lit(0.0)) > MAX_CHAR_DISTANCE) | (
-        F.coalesce(F.col("word_distance"), F.lit(0.0)) > MAX_WORD_DISTANCE)
+        F.coalesce(F.col("word_distance"), F.lit(0.0)) > MAX_WORD_DISTANCE + WORD_NOISE / F.sqrt("n_words"))
     return out.withColumn("kept", ~F.col("base_failed") & ~far)
 
 

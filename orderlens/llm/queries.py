@@ -3,8 +3,10 @@ SQL can express."""
 
 from __future__ import annotations
 
+import corpus_pipeline
 from orderlens.llm.jaccard import OP2_SQL, op2_jaccard
 from orderlens.llm.lexicon import op10_bpe
+from orderlens.llm.licenses import op4_licences
 from orderlens.llm.linededup import OP3_SQL, op3_line_dedup
 from orderlens.llm.packing import op9_packing
 from orderlens.llm.quality import op6_quality
@@ -17,12 +19,14 @@ QUERIES = {
     "op1_topk": op1_topk,
     "op2_jaccard": op2_jaccard,
     "op3_line_dedup": op3_line_dedup,
+    "op4_licences": op4_licences,
     "op5_token_file": op5_token_file,
     "op6_quality": op6_quality,
     "op7_url_filter": op7_url_filter,
     "op8_secrets": op8_secrets,
     "op9_packing": op9_packing,
     "op10_bpe": op10_bpe,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {
