@@ -15,7 +15,7 @@ from each line forwards and from each line backwards: any longer repeated run
 is covered by such runs inside it, and they are repeated with it.
 
 Edge cases: a null text stays null, an empty one empty; lines without a word
-never start or end a run and go only with a copy around them; rows with one
+take no part and stay; rows with one
 doc_id are ordered by the text's hash, and exact repeats of a row lose the
 same lines; rows with a null doc_id are left as they are and are no copies of
 anything; texts of any length are read whole; an empty table gives no rows;
@@ -40,8 +40,8 @@ def _levels(min_words: int) -> int:
 
 def windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """docs (doc_id, text) -> one row per shortest run: name, doc_id,
-    text_hash, nth (the run's first line with a word), a, z (first and last
-    line of the text)."""
+    text_hash, nth (the run's first line with a word), lines (their numbers in
+    the text)."""
     lines = (docs.filter("doc_id IS NOT NULL AND text IS NOT NULL")
              .select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.expr(
                  f"filter(transform(split(text, '\\n'), (x, i) -> named_struct('i', i, 'x', x, "
@@ -73,7 +73,7 @@ def windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return (lines.withColumn("runs", F.expr(runs))
             .select("doc_id", "text_hash", F.expr(
                 f"inline(transform(runs, r -> named_struct('name', unhex(md5(concat({pick}, CAST(CAST(r.n AS STRING) AS BINARY)))), "
-                "'nth', r.i, 'a', places[r.i], 'z', places[r.i + r.n - 1])))")))
+                "'nth', r.i, 'lines', slice(places, r.i + 1, r.n))))")))
 
 
 def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -83,7 +83,6 @@ def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     repeated = written(runs.groupBy("name").agg(F.min(place).alias("first"), F.max(place).alias("last"))
                        .filter("first < last").select("name", "first"), "repeated")
     return (runs.join(repeated, "name").filter(place > F.col("first"))
-            .select("doc_id", "text_hash", F.sequence("a", "z").alias("lines"))
             .groupBy("doc_id", "text_hash").agg(F.array_distinct(F.flatten(F.collect_set("lines"))).alias("removed")))
 
 
@@ -121,14 +120,14 @@ WITH line AS (
 ), whole AS (
   SELECT doc_id, list(line ORDER BY pos) AS all_lines FROM l GROUP BY doc_id
 ), run AS (
-  SELECT a.doc_id, a.nth, a.pos AS a, b.pos AS z, list_slice(all_lines, a.nth, b.nth) AS run
+  SELECT a.doc_id, a.nth, b.nth AS upto, list_slice(all_lines, a.nth, b.nth) AS run
   FROM l a JOIN l b ON a.doc_id = b.doc_id AND b.nth BETWEEN a.nth AND a.nth + 49
   JOIN whole ON whole.doc_id = a.doc_id
   WHERE b.upto - a.upto + a.w >= 50 AND (b.upto - b.w - a.upto + a.w < 50 OR b.upto - a.upto < 50)
 ), copy AS (
   SELECT * FROM run QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, nth) > 1
 ), gone AS (
-  SELECT DISTINCT line.doc_id, line.pos FROM line JOIN copy ON line.doc_id = copy.doc_id AND line.pos BETWEEN copy.a AND copy.z
+  SELECT DISTINCT l.doc_id, l.pos FROM l JOIN copy ON l.doc_id = copy.doc_id AND l.nth BETWEEN copy.nth AND copy.upto
 ), kept AS (
   SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS text FROM line ANTI JOIN gone USING (doc_id, pos) GROUP BY doc_id
 ), n AS (

@@ -70,7 +70,7 @@ def _pack(a: np.ndarray) -> bytes:
 def _unpack(raw: bytes, rows: int) -> np.ndarray:
     if raw[:1] == b"o":
         import pickle
-        return pickle.loads(raw[1:])
+        return pickle.loads(raw[1:]).reshape(rows, -1)
     flat = np.frombuffer(raw, {b"b": "<i1", b"h": "<i2", b"i": "<i4", b"q": "<i8"}[raw[:1]], offset=1).astype(np.int64)
     return flat.reshape(rows, -1) if rows else flat.reshape(0, 0)
 
