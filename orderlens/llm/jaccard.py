@@ -548,7 +548,7 @@ def _across(pairs: DataFrame, label: DataFrame) -> DataFrame:
 
 
 def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard_components(table(spark, sf_dir, "documents"))
+    return jaccard_components(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 OP2_SQL = r"""
