@@ -7,7 +7,6 @@ Layout:
               anti join, zero-filled calendars, list expansion, cleaning)
   plans/      one pipeline per analytics question, the query registry and
               the DuckDB oracle text
-  streaming/  the count-style metrics over a Structured Streaming source
 """
 
 __all__ = ["session"]

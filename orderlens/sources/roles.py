@@ -123,8 +123,7 @@ class RoleTables:
 
 
 def customer_orders_from(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    """Raw (uncleaned) order lines from lineitem x orders. Works on a
-    streaming ``lineitem`` too (stream-static join)."""
+    """Raw (uncleaned) order lines from lineitem x orders."""
     li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
     o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
     sk = F.col("l_suppkey")
@@ -152,8 +151,7 @@ def customer_orders_from(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
 
 def runner_orders_from(orders: DataFrame) -> DataFrame:
     """Raw (uncleaned) runner rows, one per order: dirty text columns with
-    unit suffixes and 'null' / '' sentinels. A pure projection, so it also
-    works on a streaming ``orders``."""
+    unit suffixes and 'null' / '' sentinels."""
     o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
     k = F.col("o_orderkey")
     m9 = k % 9
