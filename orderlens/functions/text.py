@@ -13,6 +13,8 @@ NULL_SENTINELS = ("", "null")
 REFERENCE_NUMBER_PATTERN = "[0-9]+.[0-9]|[0-9]+"
 STRICT_NUMBER_PATTERN = "[0-9]+(\\.[0-9]+)?"
 LIST_SEPARATOR = ","
+# Wide enough for any number a person writes (26 digits before the point).
+NUMBER_TYPE = "decimal(32,6)"
 
 
 def col_of(c: str | Column) -> Column:
@@ -26,7 +28,7 @@ def nullify(c: str | Column, sentinels: tuple[str, ...] = NULL_SENTINELS) -> Col
 
 
 def extract_number(c: str | Column, pattern: str = REFERENCE_NUMBER_PATTERN,
-                   dtype: str = "decimal(10,2)") -> Column:
+                   dtype: str = NUMBER_TYPE) -> Column:
     """First match of ``pattern`` cast to ``dtype``; NULL on no match or bad text."""
     return F.regexp_substr(col_of(c), F.lit(pattern)).try_cast(dtype)
 

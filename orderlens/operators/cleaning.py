@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.functions.text import REFERENCE_NUMBER_PATTERN, extract_number, nullify
+from orderlens.functions.text import NUMBER_TYPE, REFERENCE_NUMBER_PATTERN, extract_number, nullify
 
 
 def _is_text(df: DataFrame, col: str) -> bool:
@@ -19,7 +19,7 @@ def _is_text(df: DataFrame, col: str) -> bool:
 
 
 def clean_runner_orders(df: DataFrame, number_pattern: str = REFERENCE_NUMBER_PATTERN,
-                        number_type: str = "decimal(10,2)") -> DataFrame:
+                        number_type: str = NUMBER_TYPE) -> DataFrame:
     """cancellation: '' and 'null' -> NULL (K1, K2).
     distance: 'null' -> NULL, then the number in the text (K3, K4).
     duration: the number in the text; 'null' has none and becomes NULL (K5).

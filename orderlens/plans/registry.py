@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, TimestampType
 
 from orderlens.plans import composition, delivery, finance, loyalty, orders
+from orderlens.session import scratch_path
 from orderlens.sources import roles as R
 from orderlens.sources.roles import RoleTables
 
@@ -24,24 +25,13 @@ NEW_PRODUCT_TOPPINGS = "1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12"
 
 
 def present(df: DataFrame) -> DataFrame:
-    """Decimals -> double, dates -> 'yyyy-MM-dd', timestamps ->
-    'yyyy-MM-dd HH:mm:ss' (wall clock for timestamp_ntz, session zone for
-    timestamp); other types unchanged. Row order is kept."""
-    cols = []
-    for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
-        if isinstance(f.dataType, DecimalType):
-            c = c.cast("double")
-        elif isinstance(f.dataType, DateType):
-            c = c.cast("string")                              # no time zone involved
-        elif isinstance(f.dataType, TimestampNTZType):
-            # Wall-clock text without a zone: date_format would first convert
-            # to a session-zone instant and move times inside a DST gap.
-            c = F.substring(c.cast("string"), 1, 19)
-        elif isinstance(f.dataType, TimestampType):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+    """Decimals -> exact text, dates -> 'yyyy-MM-dd', timestamps ->
+    'yyyy-MM-dd HH:mm:ss[.ffffff]' (wall clock for timestamp_ntz, session
+    zone for timestamp), no trailing zeros of a second; other types
+    unchanged. Row order is kept."""
+    exact = (DecimalType, DateType, TimestampNTZType, TimestampType)
+    return df.select(*[F.col(f"`{f.name}`").cast("string").alias(f.name) if isinstance(f.dataType, exact)
+                       else F.col(f"`{f.name}`") for f in df.schema.fields])
 
 
 def _q(build: Callable[[SparkSession, RoleTables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -59,6 +49,7 @@ _BUILDERS: dict[str, Callable[[SparkSession, RoleTables], DataFrame]] = {
     "top_item": lambda s, t: loyalty.top_item(t.sales, t.menu),
     "favourite_items": lambda s, t: loyalty.favourite_items(t.sales, t.menu),
     "first_after_join": lambda s, t: loyalty.first_after_join(t.sales, t.menu, t.members),
+    "last_before_join_counts": lambda s, t: loyalty.last_before_join_counts(t.sales, t.menu, t.members),
     "last_before_join": lambda s, t: loyalty.last_before_join(t.sales, t.menu, t.members),
     "totals_before_join": lambda s, t: loyalty.totals_before_join(t.sales, t.menu, t.members),
     "points_basic": lambda s, t: loyalty.points_basic(t.sales, t.menu, R.PROMO_ITEM),
@@ -66,6 +57,7 @@ _BUILDERS: dict[str, Callable[[SparkSession, RoleTables], DataFrame]] = {
     "join_all": lambda s, t: loyalty.join_all(t.sales, t.menu, t.members),
     "rank_all": lambda s, t: loyalty.rank_all(t.sales, t.menu, t.members),
     "visit_calendar": lambda s, t: loyalty.visit_calendar(t.sales),
+    "tried_before_join_counts": lambda s, t: loyalty.tried_before_join_counts(t.sales, t.menu, t.members),
     "tried_before_join": lambda s, t: loyalty.tried_before_join(t.sales, t.menu, t.members),
     # cleaning (K1-K9)
     "clean_runner_orders": lambda s, t: t.runner_orders,
@@ -110,6 +102,7 @@ _BUILDERS: dict[str, Callable[[SparkSession, RoleTables], DataFrame]] = {
     "revenue_with_extras": lambda s, t: finance.revenue_with_extras(t.customer_orders, t.pizza_names,
                                                                     t.runner_orders, R.PRICED_PRODUCTS),
     "ratings_table": lambda s, t: t.runner_ratings,
+    "ratings_written": lambda s, t: finance.ratings_written(s, t.runner_ratings, scratch_path(s, "ratings")),
     "delivery_report": lambda s, t: finance.delivery_report(t.customer_orders, t.runner_ratings,
                                                             t.runner_orders),
     "net_revenue": lambda s, t: finance.net_revenue(t.customer_orders, t.pizza_names, t.runner_orders,

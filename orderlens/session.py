@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -39,9 +40,6 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    if spark.sparkContext.master.startswith("local") or spark.sparkContext.getConf().get(
-            "spark.checkpoint.dir", None):
-        ensure_checkpoint_dir(spark)
     return spark
 
 
@@ -66,6 +64,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def local_session(cores: int | None = None, shuffle_partitions: int | None = None) -> SparkSession:
     """Session for tests and the bench: local[N], small shuffle count."""
     n = cores or int(os.environ.get("BENCH_CPUS", "8"))

@@ -30,8 +30,8 @@ def test_explode_and_resolve_lists(spark):
 def test_rank_operators_keep_ties(spark):
     df = spark.createDataFrame([("a", 1, "x"), ("a", 1, "y"), ("a", 2, "z"), ("b", 5, "x"), ("b", None, "w")],
                                "k string, v int, item string")
-    assert rows(keep_rank_one(df, ["k"], ["v"]), "k", "item") == [("a", "x"), ("a", "y"), ("b", "w")]
-    assert rows(keep_rank_one(df, ["k"], ["v"], descending=True), "k", "item") == [("a", "z"), ("b", "x")]
+    assert rows(keep_rank_one(df, ["k"], "v"), "k", "item") == [("a", "x"), ("a", "y"), ("b", "w")]
+    assert rows(keep_rank_one(df, ["k"], "v", descending=True), "k", "item") == [("a", "z"), ("b", "x")]
     ranked = rows(dense_rank_by_distinct(df, ["k"], "v", "r"), "k", "item", "r")
     assert ranked == [("a", "x", 1), ("a", "y", 1), ("a", "z", 2), ("b", "w", 1), ("b", "x", 2)]
     from pyspark.sql import functions as F
@@ -57,3 +57,41 @@ def test_week_bucket_edges(spark):
 def test_weekday_name_of_null_is_null(spark):
     df = spark.createDataFrame([(None,), (D(2021, 1, 3),)], "d date")
     assert [r[0] for r in df.select(weekday_name("d")).collect()] == [None, "Sunday"]
+
+
+def test_nothing_is_cut_off(spark):
+    """Large numbers, fractions of a second, long totals, counts beyond 32 bits."""
+    from decimal import Decimal
+
+    import pytest
+    from pyspark.sql import functions as F
+
+    from orderlens.functions.agg import collect_counted, expand_counted
+    from orderlens.functions.text import extract_number
+    from orderlens.plans.registry import present
+
+    df = spark.createDataFrame([("123456789.5 m",), ("99999999999999999999km",)], "t string")
+    assert [r[0] for r in df.select(extract_number("t")).collect()] == [Decimal("123456789.5"), Decimal("99999999999999999999")]
+    one = spark.sql("select timestamp_ntz '2024-01-02 10:00:00.654321' as a, timestamp '2024-01-02 10:00:00.5' as b, "
+                    "cast('90071992547409930.01' as decimal(38,2)) as c, date '2024-01-02' as d")
+    assert tuple(present(one).first()) == ("2024-01-02 10:00:00.654321", "2024-01-02 10:00:00.5", "90071992547409930.01", "2024-01-02")
+
+    many = spark.createDataFrame([("k", "a", 3_000_000_000), ("k", "b", 2)], "k string, v string, n long")
+    counted = many.groupBy("k").agg(collect_counted("v", "n").alias("c"))
+    assert counted.first()["c"][0]["n"] == 3_000_000_000
+    with pytest.raises(Exception, match="2 GB"):
+        counted.select(expand_counted(F.col("c"))).collect()
+    few = spark.createDataFrame([("k", "b", 1), ("k", None, 4), ("k", "a", 3), ("m", None, 2)], "k string, v string, n long")
+    got = dict(rows(few.groupBy("k").agg(expand_counted(collect_counted("v", "n")))))
+    assert got == {"k": "a,a,a,b", "m": None}
+
+
+def test_broadcast_is_left_to_spark(spark):
+    counts = spark.range(10).selectExpr("cast(id as int) as k", "id as n")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = zero_fill(key_range(spark, "w", 1, 3), "w", counts, "k", "n", "cnt")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Broadcast" not in plan
