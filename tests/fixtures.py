@@ -31,50 +31,41 @@ def loyalty(spark):
 
 def delivery(spark):
     runner_orders_raw = spark.createDataFrame([
-        (1, 1, "2021-01-01 18:15:34", "20km", "32 minutes", ""),
-        (2, 1, "2021-01-01 19:10:54", "20km", "27 minutes", ""),
-        (3, 1, "2021-01-03 00:12:37", "13.4km", "20 mins", None),
-        (4, 2, "2021-01-04 13:53:03", "23.45 km", "40", None),
-        (5, 3, "2021-01-08 21:10:57", "10", "15", None),
-        (6, 3, "null", "null", "null", "Restaurant Cancellation"),
-        (7, 2, "2021-01-08 21:30:45", "25km", "25mins", "null"),
-        (8, 2, "2021-01-10 00:15:02", "23.4 km", "15 minute", "null"),
-        (9, 2, "null", "null", "null", "Customer Cancellation"),
-        (10, 1, "2021-01-11 18:50:20", "10km", "10minutes", "null"),
-        (11, 4, "2021-01-11 19:00:00", "10 5", "9", ""),
-        (12, 4, "2021-01-11 19:00:00", "100", "0", ""),
+        (21, 5, "2022-03-02 08:14:10", "7km", "12 minutes", ""),
+        (22, 5, "2022-03-02 09:40:00", "3.6 km", "9 mins", None),
+        (23, 6, "2022-03-03 10:05:31", "18.27km", "26", "null"),
+        (24, 6, "null", "null", "null", "Customer Cancellation"),
+        (25, 7, "2022-03-05 19:30:05", "42", "50minutes", ""),
+        (26, 7, "2022-03-05 20:00:00", "10 5", "9", ""),
+        (27, 8, "2022-03-06 12:00:00", "64", "0", None),
+        (28, 8, "null", "null", "null", "Restaurant Cancellation"),
+        (29, 5, "2022-03-07 11:11:11", "15.5km", "31min", "null"),     # an order without lines
     ], "order_id int, runner_id int, pickup_time string, distance string, duration string, cancellation string")
     customer_orders_raw = spark.createDataFrame([
-        (1, 101, 1, "", "", T(2021, 1, 1, 18, 5, 2)),
-        (2, 101, 1, "", "", T(2021, 1, 1, 19, 0, 52)),
-        (3, 102, 1, "", "", T(2021, 1, 2, 23, 51, 23)),
-        (3, 102, 2, "", None, T(2021, 1, 2, 23, 51, 23)),
-        (4, 103, 1, "4", "", T(2021, 1, 4, 13, 23, 46)),
-        (4, 103, 1, "4", "", T(2021, 1, 4, 13, 23, 46)),   # exact duplicate line
-        (4, 103, 2, "4", "", T(2021, 1, 4, 13, 23, 46)),
-        (5, 104, 1, "null", "1", T(2021, 1, 8, 21, 0, 29)),
-        (6, 101, 2, "null", "null", T(2021, 1, 8, 21, 3, 13)),
-        (7, 105, 2, "null", "1", T(2021, 1, 8, 21, 20, 29)),
-        (8, 102, 1, "null", "null", T(2021, 1, 9, 23, 54, 33)),
-        (9, 103, 1, "4", "1, 5", T(2021, 1, 10, 11, 22, 59)),
-        (10, 104, 1, "null", "null", T(2021, 1, 11, 18, 34, 49)),
-        (10, 104, 1, "2, 6", "1, 4", T(2021, 1, 11, 18, 34, 49)),
-        (11, 106, 1, "3, 3", "1, 1", T(2021, 1, 11, 18, 40, 0)),     # repeated ids
-        (11, 106, 2, "99", "", T(2021, 1, 11, 18, 40, 0)),           # unknown token only
-        (12, 107, 2, "4, 6, 7, 9, 11, 12", "", T(2021, 1, 11, 18, 41, 0)),  # all excluded
-        (12, 107, 1, "3,", "10", T(2021, 1, 11, 18, 41, 0)),         # trailing comma; extra outside recipe
-        (13, 108, 1, None, None, T(2021, 1, 12, 10, 0, 0)),          # order with no runner row
+        (21, 301, 1, "", "", T(2022, 3, 2, 8, 2, 40)),
+        (22, 302, 1, "3", "", T(2022, 3, 2, 9, 21, 15)),
+        (22, 302, 1, "3", "", T(2022, 3, 2, 9, 21, 15)),              # exact duplicate line
+        (22, 302, 2, "null", None, T(2022, 3, 2, 9, 21, 15)),
+        (23, 301, 2, "", "4", T(2022, 3, 3, 9, 59, 59)),
+        (24, 303, 1, "9, 2", "5", T(2022, 3, 4, 17, 30, 0)),          # cancelled
+        (25, 304, 1, "2, 7", "3, 11", T(2022, 3, 5, 19, 5, 6)),
+        (26, 305, 1, "5, 5", "9, 9", T(2022, 3, 5, 19, 50, 0)),       # repeated ids
+        (26, 305, 2, "88", "", T(2022, 3, 5, 19, 50, 0)),             # unknown token only
+        (27, 302, 2, "1, 4, 6, 8, 10", "", T(2022, 3, 6, 11, 45, 0)),  # all excluded
+        (27, 302, 1, "11,", "6", T(2022, 3, 6, 11, 45, 0)),           # trailing comma; extra outside recipe
+        (28, 306, 2, "null", "null", T(2022, 3, 6, 13, 0, 0)),        # cancelled
+        (30, 307, 1, None, None, T(2022, 3, 8, 9, 0, 0)),             # order with no runner row
     ], "order_id int, customer_id int, pizza_id int, exclusions string, extras string, order_time timestamp_ntz")
-    pizza_names = spark.createDataFrame([(1, "Meatlovers"), (2, "Vegetarian")], "pizza_id int, pizza_name string")
-    pizza_recipes = spark.createDataFrame([(1, "1, 2, 3, 4, 5, 6, 8, 10"), (2, "4, 6, 7, 9, 11, 12")],
+    pizza_names = spark.createDataFrame([(1, "Harvest Bowl"), (2, "Garden Wrap")], "pizza_id int, pizza_name string")
+    pizza_recipes = spark.createDataFrame([(1, "2, 3, 5, 7, 9, 11"), (2, "1, 4, 6, 8, 10")],
                                           "pizza_id int, toppings string")
     pizza_toppings = spark.createDataFrame([
-        (1, "Bacon"), (2, "BBQ Sauce"), (3, "Beef"), (4, "Cheese"), (5, "Chicken"), (6, "Mushrooms"),
-        (7, "Onions"), (8, "Pepperoni"), (9, "Peppers"), (10, "Salami"), (11, "Tomatoes"),
-        (12, "Tomato Sauce")], "topping_id int, topping_name string")
+        (1, "Walnut"), (2, "Apple"), (3, "Barley"), (4, "Carrot"), (5, "Date"), (6, "Fennel"),
+        (7, "Ginger"), (8, "Hazelnut"), (9, "Kale"), (10, "Lentil"), (11, "Mint"),
+        (12, "Olive")], "topping_id int, topping_name string")
     runners = spark.createDataFrame(
-        [(1, D(2021, 1, 1)), (2, D(2021, 1, 7)), (3, D(2021, 1, 8)), (4, D(2021, 1, 28)),
-         (5, D(2021, 1, 29)), (6, D(2021, 1, 31)), (7, D(2021, 2, 1))],
+        [(1, D(2022, 5, 1)), (2, D(2022, 5, 7)), (3, D(2022, 5, 15)), (4, D(2022, 5, 28)),
+         (5, D(2022, 5, 29)), (6, D(2022, 5, 31)), (7, D(2022, 6, 1))],
         "runner_id int, registration_date date")
     return dict(runner_orders_raw=runner_orders_raw, customer_orders_raw=customer_orders_raw,
                 pizza_names=pizza_names, pizza_recipes=pizza_recipes, pizza_toppings=pizza_toppings,
