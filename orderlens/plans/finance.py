@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
@@ -13,7 +13,7 @@ from orderlens.functions.time import elapsed_minutes
 from orderlens.plans.composition import recipe_ingredients
 from orderlens.plans.delivery import speed
 from orderlens.plans.orders import delivered
-from orderlens.sources.sinks import conform
+from orderlens.sources.sinks import conform, read_written, write_table
 
 # Declared schema of the ratings table. Ids are 64-bit here (the test data's
 # keys are bigint); the rating is an integer 1..5.
@@ -36,55 +36,70 @@ def _price_of(name: Column, prices: dict[str, int]) -> Column:
     return expr.otherwise(F.lit(0))
 
 
-def _line_totals(customer_orders: DataFrame, pizza_names: DataFrame, runner_orders: DataFrame,
-                 prices: dict[str, int]) -> DataFrame:
-    """One pass over the lines: revenue of delivered lines (a line counts
-    once per delivered runner row of its order, as an inner join would)
-    and the number of listed extras over all lines (NULL if none).
+def _revenue(customer_orders: DataFrame, pizza_names: DataFrame, runner_orders: DataFrame,
+             prices: dict[str, int]) -> DataFrame:
+    """Revenue of delivered lines (a line counts once per delivered runner row
+    of its order, as an inner join would).
 
-    Prices are summed per product id and delivered rows counted per order
-    first, so each line meets one row of each; no line is read twice.
+    Only lines of priced products go on to the orders: prices are summed per
+    product id, which few lines have, and delivered rows counted per order.
     """
     priced = (pizza_names.filter(F.col("pizza_name").isin(list(prices)))
               .groupBy("pizza_id").agg(F.sum(_price_of(F.col("pizza_name"), prices)).alias("_price")))
-    runs = runner_orders.groupBy("order_id").agg(F.count_if(delivered()).alias("_runs"))
-    lines = (customer_orders.select("order_id", "pizza_id", "extras")
-             .join(priced, "pizza_id", "left")
-             .join(runs, "order_id", "left"))
-    value = F.coalesce(F.col("_price"), F.lit(0)) * F.coalesce(F.col("_runs"), F.lit(0))
-    return lines.agg(F.coalesce(F.sum(value), F.lit(0)).cast("bigint").alias("_revenue"),
-                     F.sum(list_length("extras")).cast("bigint").alias("_extras"))
+    runs = runner_orders.filter(delivered()).groupBy("order_id").agg(F.count(F.lit(1)).alias("_runs"))
+    lines = customer_orders.select("order_id", "pizza_id").join(priced, "pizza_id").join(runs, "order_id")
+    return lines.agg(F.coalesce(F.sum(F.col("_price") * F.col("_runs")), F.lit(0)).cast("bigint").alias("_revenue"))
 
 
 def revenue(customer_orders: DataFrame, pizza_names: DataFrame, runner_orders: DataFrame,
             prices: dict[str, int]) -> DataFrame:
     """Q38: fixed price per named product over delivered lines; other
     products add nothing."""
-    return _line_totals(customer_orders, pizza_names, runner_orders, prices).select(
+    return _revenue(customer_orders, pizza_names, runner_orders, prices).select(
         F.col("_revenue").alias("money_made_so_far"))
 
 
 def revenue_with_extras(customer_orders: DataFrame, pizza_names: DataFrame, runner_orders: DataFrame,
                         prices: dict[str, int], extra_charge: int = 1) -> DataFrame:
     """Q39: Q38 plus ``extra_charge`` per listed extra over all lines
-    (cancelled included, as in the reference); NULL when no line has
-    extras. Both totals come from the same pass over the lines."""
-    return _line_totals(customer_orders, pizza_names, runner_orders, prices).select(
-        (F.col("_revenue") + F.col("_extras") * extra_charge).alias("money_made_so_far"))
+    (cancelled included); NULL when no line has extras. The extras are
+    summed map-side, beside the join for the revenue."""
+    extras = customer_orders.agg(F.sum(list_length("extras")).cast("bigint").alias("_extras"))
+    return (_revenue(customer_orders, pizza_names, runner_orders, prices).crossJoin(F.broadcast(extras))   # a row each
+            .select((F.col("_revenue") + F.col("_extras") * extra_charge).alias("money_made_so_far")))
 
 
 def ratings_table(runner_orders: DataFrame, order_customers: DataFrame,
                   rating: Column | None = None) -> DataFrame:
     """Q40: a ratings row (order, customer, runner, rating 1..5) for every
-    delivered runner row, conformed to RATINGS_SCHEMA.
+    delivered runner row, conformed to RATINGS_SCHEMA. Repeated rows of
+    ``order_customers`` count once.
 
     ``rating`` defaults to a deterministic stand-in (1 + order_id mod 5);
     write it with ``sources.sinks.write_table(df, path, RATINGS_SCHEMA)``.
     """
-    rating = rating if rating is not None else (F.col("order_id") % 5 + 1)
+    rating = rating if rating is not None else (F.pmod(F.col("order_id"), F.lit(5)) + 1)
     runs = runner_orders.filter(delivered()).select("order_id", "runner_id")
-    rows = runs.join(order_customers.select("order_id", "customer_id"), "order_id")
-    return conform(rows.withColumn("rating", rating), RATINGS_SCHEMA)
+    rows = runs.join(order_customers.select("order_id", "customer_id").distinct(), "order_id")
+    return rated(rows.withColumn("rating", rating))
+
+
+def rated(rows: DataFrame) -> DataFrame:
+    """Given rating rows, conformed to RATINGS_SCHEMA. A rating outside 1..5
+    fails the job (NULL, not rated, passes)."""
+    r = F.col("rating")
+    message = F.concat(F.lit("rating outside 1..5: "), r.cast("string"))
+    return conform(rows.withColumn("rating", F.when(r.isNull() | r.between(1, 5), r).otherwise(
+        F.raise_error(message).cast("int"))), RATINGS_SCHEMA)
+
+
+def ratings_written(spark: SparkSession, ratings: DataFrame, path: str) -> DataFrame:
+    """Q40 as a table: create it with the ratings of even orders, add those of
+    the odd ones, and read it back."""
+    even = F.pmod(F.col("order_id"), F.lit(2)) == 0
+    write_table(ratings.filter(even), path, RATINGS_SCHEMA)
+    write_table(ratings.filter(~even), path, RATINGS_SCHEMA, mode="append")
+    return read_written(spark, path, RATINGS_SCHEMA)
 
 
 def delivery_report(customer_orders: DataFrame, runner_ratings: DataFrame,
@@ -119,10 +134,9 @@ def net_revenue(customer_orders: DataFrame, pizza_names: DataFrame, runner_order
                 prices: dict[str, int], pay_per_distance: Decimal = RUNNER_PAY_PER_DISTANCE) -> DataFrame:
     """Q42: Q38 minus runner pay (``pay_per_distance`` x total delivered distance)."""
     pay = runner_orders.filter(delivered()).agg(
-        (F.sum("distance") * F.lit(pay_per_distance)).alias("_pay"))
-    rev = _line_totals(customer_orders, pizza_names, runner_orders, prices)
-    return rev.crossJoin(F.broadcast(pay)).select(
-        (F.col("_revenue") - F.col("_pay")).alias("money_made_so_far"))
+        (F.sum("distance").cast("decimal(30,6)") * F.lit(pay_per_distance)).alias("_pay"))
+    return _revenue(customer_orders, pizza_names, runner_orders, prices).crossJoin(F.broadcast(pay)).select(
+        (F.col("_revenue") - F.col("_pay")).cast("decimal(38,7)").alias("money_made_so_far"))
 
 
 def add_product(pizza_names: DataFrame, pizza_recipes: DataFrame, name: str,
