@@ -1,10 +1,10 @@
 """Rank-one-with-ties and top-1 operators.
 
-``keep_rank_one`` is ``dense_rank() = 1`` per group. Spark plans the filter
-as a WindowGroupLimit that already drops every row beyond rank 1 inside
-each map task, before the shuffle, so a group holding a third of all rows
-does not reach one task whole. Callers count rows per (group, order key,
-item) first, which shrinks a hot group to its distinct combinations.
+``keep_rank_one`` is ``dense_rank() = 1`` per group: the group's first key
+value comes from a hash aggregate (combined map-side) and is joined back on
+(group, key). No group is sorted, and a group of a third of all rows, even
+with one key value, meets a single row in a join whose hot partition can be
+split.
 
 ``dense_rank_by_distinct`` ranks every row of a group without sorting the
 group: the ranks are computed over the distinct order keys per group and
@@ -25,11 +25,14 @@ def _order(c: str | Column, descending: bool) -> Column:
     return c.desc_nulls_last() if descending else c.asc_nulls_first()
 
 
-def keep_rank_one(df: DataFrame, by: Sequence[str], order_by: Sequence[str | Column],
-                  descending: bool = False) -> DataFrame:
-    """Rows whose dense rank within ``by`` is 1 (all ties kept)."""
-    w = Window.partitionBy(*by).orderBy(*[_order(c, descending) for c in order_by])
-    return df.withColumn("_rank", F.dense_rank().over(w)).filter(F.col("_rank") == 1).drop("_rank")
+def keep_rank_one(df: DataFrame, by: Sequence[str], order_by: str, descending: bool = False) -> DataFrame:
+    """Rows whose dense rank of ``order_by`` within ``by`` is 1 (all ties kept)."""
+    c = F.col(order_by)
+    # NULLs sort lowest: first in ascending order, last in descending.
+    first = F.max(c) if descending else F.when(F.count_if(c.isNull()) == 0, F.min(c))
+    best = df.groupBy(*by).agg(first.alias("_first")).select(*[F.col(b).alias(f"_by_{b}") for b in by], "_first")
+    cond = [df[b].eqNullSafe(best[f"_by_{b}"]) for b in by] + [df[order_by].eqNullSafe(best["_first"])]
+    return df.join(best, cond).select(df["*"])
 
 
 def dense_rank_by_distinct(df: DataFrame, by: Sequence[str], order_col: str, out: str,

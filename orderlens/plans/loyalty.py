@@ -41,9 +41,7 @@ def visit_days(sales: DataFrame) -> DataFrame:
 
 def first_items(sales: DataFrame, menu: DataFrame) -> DataFrame:
     """Q3: distinct names of everything bought on each customer's first date."""
-    # No dedup first: the rank-1 filter is applied map-side (WindowGroupLimit),
-    # so only rows on each customer's first date are shuffled.
-    firsts = keep_rank_one(_named(sales, menu).select(C, D, N), [C], [D])
+    firsts = keep_rank_one(_named(sales, menu).select(C, D, N), [C], D)
     return firsts.groupBy(C).agg(concat_distinct(N).alias("first_item"))
 
 
@@ -56,28 +54,28 @@ def top_item(sales: DataFrame, menu: DataFrame) -> DataFrame:
 def favourite_items(sales: DataFrame, menu: DataFrame) -> DataFrame:
     """Q5: per customer, every item tied at the highest purchase count."""
     counts = _named(sales, menu).groupBy(C, N).agg(F.count(N).alias("count_item"))
-    best = keep_rank_one(counts, [C], ["count_item"], descending=True)
+    best = keep_rank_one(counts, [C], "count_item", descending=True)
     return best.groupBy(C).agg(concat_distinct(N).alias("most_popular_item"))
 
 
 def first_after_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
-    """Q6: items bought on the first date strictly after joining, one row per sale.
-
-    The rank-1 filter runs map-side (WindowGroupLimit) on the sales rows, so
-    only rows on each customer's first such date are shuffled.
-    """
+    """Q6: items bought on the first date strictly after joining, one row per sale."""
     j = _member_sales(sales, menu, members).filter(F.col(D) > F.col(J)).select(C, D, N)
-    return keep_rank_one(j, [C], [D]).select(C, F.col(N).alias("first_item_purchased"))
+    return keep_rank_one(j, [C], D).select(C, F.col(N).alias("first_item_purchased"))
 
 
-def last_before_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
-    """Q7: items bought on the last date strictly before joining, joined as text
-    with repeats (output name as in the reference). The surviving rows are
-    counted per item before they are gathered per customer."""
+def last_before_join_counts(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
+    """Q7 as rows: items bought on the last date strictly before joining, and
+    how often."""
     j = _member_sales(sales, menu, members).filter(F.col(D) < F.col(J)).select(C, D, N)
-    lasts = keep_rank_one(j, [C], [D], descending=True)
-    counted = lasts.groupBy(C, N).agg(F.count(F.lit(1)).alias("_n"))
-    return counted.groupBy(C).agg(expand_counted(collect_counted(N, "_n")).alias("first_item_purchased"))
+    return keep_rank_one(j, [C], D, descending=True).groupBy(C, N).agg(F.count(F.lit(1)).alias("times"))
+
+
+def last_before_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
+    """Q7: ``last_before_join_counts`` as one text per customer with repeats
+    (one cell holds them all)."""
+    counted = last_before_join_counts(sales, menu, members)
+    return counted.groupBy(C).agg(expand_counted(collect_counted(N, "times")).alias("first_item_purchased"))
 
 
 def totals_before_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
@@ -138,27 +136,29 @@ def join_all(sales: DataFrame, menu: DataFrame, members: DataFrame, sort: bool =
     flag = (F.when(~matched, F.lit("N"))
             .when(F.col(D) >= F.col(J), "Y").when(F.col(D) < F.col(J), "N"))
     out = j.filter(matched | not_in_members).select(C, D, N, PRICE, flag.alias("member"))
-    return out.orderBy(C, D) if sort else out
+    return out.orderBy(C, D, N, PRICE) if sort else out
 
 
 def rank_all(sales: DataFrame, menu: DataFrame, members: DataFrame, sort: bool = True) -> DataFrame:
     """Q12: Q11 plus the dense rank of the order date among a customer's member
     ('Y') rows; text 'null' for the other rows (so the column is text).
 
-    The ranks are computed over the distinct (customer, date) keys of the
-    'Y' rows (a customer's rows collapse to its dates before the window)
-    and joined back on (customer, date), so no customer's rows are sorted
-    in one task.
+    The ranks are computed over the distinct (customer, date) keys of members'
+    sales from their join date on (a customer's rows collapse to its dates
+    before the window) and joined back on (customer, date), so no customer's
+    rows are sorted in one task. The rules for customers that are no members
+    play no part in them.
     """
     # Rows whose flag is NULL (member with a NULL join date) are in neither
-    # the 'Y' nor the 'N' part, so they are left out, as in the reference.
+    # the 'Y' nor the 'N' part, so they are left out.
     rows = join_all(sales, menu, members, sort=False).filter(F.col("member").isNotNull())
-    keys = rows.filter(F.col("member") == "Y").select(C, D).distinct()
+    keys = (sales.join(members, C).filter(F.col(D) >= F.col(J)).join(menu.select(P), P, "left_semi")
+            .select(C, D).distinct())
     ranks = keys.withColumn("_rank", F.dense_rank().over(Window.partitionBy(C).orderBy(F.col(D).asc())))
     out = rows.join(ranks, [C, D], "left").select(
         C, D, N, PRICE, "member",
         F.when(F.col("member") == "Y", F.col("_rank").cast("string")).otherwise(F.lit("null")).alias("ranking"))
-    return out.orderBy(C, D) if sort else out
+    return out.orderBy(C, D, N, PRICE) if sort else out
 
 
 def visit_calendar(sales: DataFrame) -> DataFrame:
@@ -167,23 +167,28 @@ def visit_calendar(sales: DataFrame) -> DataFrame:
             .select(D, C, weekday_name(D).alias("day")).orderBy(C))
 
 
+def tried_before_join_counts(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
+    """Q14 as rows: per customer each item bought before joining (kind 'item')
+    and each date of a visit (kind 'day'), with their counts."""
+    j = sales.join(members, C).join(menu, P).filter(F.col(D) < F.col(J))
+    facts = j.select(C, F.explode(F.array(
+        F.struct(F.lit("item").alias("_kind"), F.col(N).alias("_value")),
+        F.struct(F.lit("day").alias("_kind"), F.col(D).cast("string").alias("_value")))).alias("_f"))
+    return facts.groupBy(C, F.col("_f._kind").alias("kind"), F.col("_f._value").alias("value")).agg(
+        F.count(F.lit(1)).alias("times"))
+
+
 def tried_before_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
-    """Q14: items (with repeats) and number of visit days before joining.
+    """Q14: items (with repeats, one cell holds them all) and number of visit
+    days before joining.
 
     One pass: every sale emits an item fact and a date fact, both counted
     per (customer, kind, value) map-side; the per-customer step then
     collects the item counts (bounded by distinct items) and counts the
     distinct dates.
     """
-    j = sales.join(members, C).join(menu, P).filter(F.col(D) < F.col(J))
-    facts = j.select(C, F.explode(F.array(
-        F.struct(F.lit("item").alias("_kind"), F.col(N).alias("_value")),
-        F.struct(F.lit("day").alias("_kind"), F.col(D).cast("string").alias("_value")))).alias("_f"))
-    counted = facts.groupBy(C, F.col("_f._kind").alias("_kind"), F.col("_f._value").alias("_value")).agg(
-        F.count(F.lit(1)).alias("_n"))
-    is_item = F.col("_kind") == "item"
-    return counted.groupBy(C).agg(
-        expand_counted(F.array_sort(F.collect_list(F.when(
-            is_item, F.struct(F.col("_value").alias("value"), F.col("_n").cast("int").alias("n"))))))
-        .alias("items_tried"),
-        F.count_if(~is_item & F.col("_value").isNotNull()).alias("no_of_visits"))
+    is_item = F.col("kind") == "item"
+    items = F.array_sort(F.collect_list(F.when(is_item, F.struct("value", F.col("times").alias("n")))))
+    return tried_before_join_counts(sales, menu, members).groupBy(C).agg(
+        expand_counted(items).alias("items_tried"),
+        F.count_if(~is_item & F.col("value").isNotNull()).alias("no_of_visits"))
