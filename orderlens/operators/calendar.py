@@ -20,12 +20,10 @@ def weekday_list(spark: SparkSession, name: str) -> DataFrame:
 
 def zero_fill(keys: DataFrame, key: str, counts: DataFrame, count_key: str | Column,
               count_col: str, out: str) -> DataFrame:
-    """Every key with its count, 0 where the key has none.
-
-    ``counts`` is an aggregate grouped by a key of bounded cardinality (the
-    keys of the calendar), so broadcasting it is size-safe.
+    """Every key with its count, 0 where the key has none. How ``counts`` is
+    joined is up to its size at run time.
     """
     ck = F.col(count_key) if isinstance(count_key, str) else count_key
     c = counts.select(ck.alias("_ck"), F.col(count_col).alias("_cnt"))
-    return keys.join(F.broadcast(c), keys[key] == c["_ck"], "left").select(
+    return keys.join(c, keys[key] == c["_ck"], "left").select(
         keys[key], F.coalesce(c["_cnt"], F.lit(0)).cast("bigint").alias(out))

@@ -1,11 +1,14 @@
 """Entry contract, differential check against the DuckDB oracle, plan shape."""
 
 import os
+import re
 import sys
 
 import pytest
 
 import __spark_entry__ as E
+from orderlens.plans.oracle import ORACLE
+from orderlens.plans.registry import QUERIES
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
@@ -19,14 +22,14 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
-    assert len(E.queries()) == 45
+    assert set(ORACLE) == set(QUERIES) and set(QUERIES) <= set(E.queries()) and set(ORACLE) <= set(E.oracle_sql())
+    assert len(QUERIES) == 48
 
 
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="test data not present")
 def test_all_queries_match_oracle(spark):
     from check_oracle import compare
-    rep = compare(spark, SMALL, verbose=False)
+    rep = compare(spark, SMALL, sorted(QUERIES), verbose=False)
     bad = {k: v for k, v in rep.items() if v != "OK"}
     assert not bad, bad
 
@@ -35,26 +38,61 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.fixture
+def large_tables(spark):
+    """Plans as with tables of any size: nothing is broadcast unless a hint
+    in the library says so."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield spark
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+# Hinted broadcasts are of aggregates with one row.
+ONE_ROW_BROADCASTS = {"join_all": 1, "rank_all": 1, "revenue_with_extras": 1, "net_revenue": 1}
+GLOBAL_AGGREGATES = {"order_lines_total", "unique_customers", "both_modifiers", "duration_spread", "revenue",
+                     "revenue_with_extras", "net_revenue", "add_product", "join_all", "rank_all"}
+
+
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="test data not present")
-def test_plan_shapes(spark):
-    """No single-partition shuffle except for global (one-row) aggregates,
-    no nested-loop join except against one-row summaries, no Python UDF."""
-    one_row = {"order_lines_total", "unique_customers", "both_modifiers", "duration_spread", "revenue",
-               "revenue_with_extras", "net_revenue", "add_product",
-               "join_all", "rank_all"}            # NOT IN summary of members
-    nlj = {"join_all", "rank_all", "revenue_with_extras", "net_revenue"}
+def test_plan_shapes_without_broadcasts(large_tables):
+    """No broadcast but of one row, no nested loops but against one row, no
+    single partition but for global aggregates, no Python."""
     bad = []
-    for k, q in E.queries().items():
-        plan = _plan(q(spark, SMALL))
-        if "PythonUDF" in plan or "BatchEvalPython" in plan or "ArrowEvalPython" in plan:
-            bad.append((k, "python udf"))
-        if "SinglePartition" in plan and k not in one_row:
+    for k, q in QUERIES.items():
+        plan = _plan(q(large_tables, SMALL))
+        hinted = ONE_ROW_BROADCASTS.get(k, 0)
+        if plan.count("BroadcastExchange") != hinted:
+            bad.append((k, "broadcasts", plan.count("BroadcastExchange")))
+        if len(re.findall("BroadcastNestedLoopJoin|CartesianProduct", plan)) != hinted:
+            bad.append((k, "nested loops"))
+        if "SinglePartition" in plan and k not in GLOBAL_AGGREGATES:
             bad.append((k, "single partition"))
-        if "BroadcastNestedLoopJoin" in plan and k not in nlj:
-            bad.append((k, "nested loop join"))
+        if re.search("BatchEvalPython|ArrowEvalPython|InPandas|InArrow", plan):
+            bad.append((k, "python"))
     assert not bad, bad
 
 
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="test data not present")
+@pytest.mark.parametrize("key,scans", [("order_item_text", 1), ("ingredient_list_text", 2), ("ingredient_usage", 2),
+                                       ("revenue", 1), ("net_revenue", 1), ("join_all", 1), ("rank_all", 2),
+                                       ("tried_before_join", 1), ("first_items", 2)])
+def test_reads_of_the_line_table(large_tables, key, scans):
+    """The recipes are a second reading of the lines (their role's binding)."""
+    plan = _plan(QUERIES[key](large_tables, SMALL))
+    assert len(re.findall(r"FileScan parquet[^\n]*lineitem", plan)) == scans
+
+
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="test data not present")
+def test_priced_products_are_joined_before_the_orders(large_tables):
+    """The join of the delivered runs stands above the inner join of lines and
+    priced products."""
+    plan = _plan(QUERIES["revenue"](large_tables, SMALL))
+    joins = re.findall(r"(?:SortMergeJoin|ShuffledHashJoin) \[(\w+?)#\d+L?\], \[\w+?#\d+L?\], (\w+)", plan)
+    assert [j for j in joins if j[0] == "pizza_id"] == [("pizza_id", "Inner")]
+    assert [j[0] for j in joins].index("order_id") < [j[0] for j in joins].index("pizza_id")
+
+
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="test data not present")
 def test_scans_are_pruned(spark):
     plan = _plan(E.queries()["deliveries_by_runner"](spark, SMALL))
@@ -64,9 +102,11 @@ def test_scans_are_pruned(spark):
     assert "PushedFilters: [IsNotNull(c_mktsegment), EqualTo(c_mktsegment,BUILDING)" in plan
 
 
-@pytest.mark.skipif(not os.path.isdir(SMALL), reason="test data not present")
-def test_rank_one_is_limited_map_side(spark):
-    """dense_rank() = 1 is planned as WindowGroupLimit (rows beyond rank 1
-    are dropped inside each map task, before the shuffle)."""
-    for k in ("first_items", "favourite_items", "first_after_join", "last_before_join"):
-        assert "WindowGroupLimit" in _plan(E.queries()[k](spark, SMALL)), k
+def test_tables_are_checked_on_load(spark, tmp_path):
+    from orderlens.sources.tables import read_table
+    spark.createDataFrame([("1", "x")], "s_suppkey string, s_name string").write.parquet(str(tmp_path / "supplier.parquet"))
+    with pytest.raises(ValueError, match="s_suppkey"):
+        read_table(spark, str(tmp_path), "supplier")
+    spark.createDataFrame([(1,)], "c_custkey long").write.parquet(str(tmp_path / "customer.parquet"))
+    with pytest.raises(ValueError, match="c_mktsegment"):
+        read_table(spark, str(tmp_path), "customer")

@@ -13,6 +13,7 @@ from types import SimpleNamespace
 import duckdb
 import pandas as pd
 import pyarrow as pa
+import pytest
 from hypothesis import HealthCheck, example, given, settings
 from hypothesis import strategies as st
 
@@ -41,7 +42,7 @@ def _rows(df: pd.DataFrame) -> list[tuple]:
 D = dt.date
 LOYALTY = ["spend_by_customer", "visit_days", "first_items", "top_item", "favourite_items", "first_after_join",
            "last_before_join", "totals_before_join", "points_basic", "points_promo_window", "join_all",
-           "rank_all", "visit_calendar", "tried_before_join"]
+           "rank_all", "visit_calendar", "tried_before_join", "last_before_join_counts", "tried_before_join_counts"]
 
 SCHEMAS = {
     "sales": [("customer_id", pa.string(), "string"), ("order_date", pa.date32(), "date"),
@@ -54,8 +55,8 @@ SCHEMAS = {
                         ("extras", pa.string(), "string"), ("order_time", pa.timestamp("us"), "timestamp_ntz")],
     "runner_orders": [("order_id", pa.int64(), "bigint"), ("runner_id", pa.int64(), "bigint"),
                       ("pickup_time", pa.timestamp("us"), "timestamp_ntz"),
-                      ("distance", pa.decimal128(10, 2), "decimal(10,2)"),
-                      ("duration", pa.decimal128(10, 2), "decimal(10,2)"), ("cancellation", pa.string(), "string")],
+                      ("distance", pa.decimal128(32, 6), "decimal(32,6)"),
+                      ("duration", pa.decimal128(32, 6), "decimal(32,6)"), ("cancellation", pa.string(), "string")],
     "pizza_names": [("pizza_id", pa.int64(), "bigint"), ("pizza_name", pa.string(), "string")],
     "pizza_toppings": [("topping_id", pa.int64(), "bigint"), ("topping_name", pa.string(), "string")],
     "pizza_recipes": [("pizza_id", pa.int64(), "bigint"), ("toppings", pa.string(), "string")],
@@ -95,14 +96,28 @@ def _delivery_rows(rnd):
             runs.append((o, o % 3, pick, Decimal(rnd.randint(0, 300)) / 10 if not canc else None,
                          Decimal(rnd.choice([0, 10, 15, 25])) if not canc else None, canc))
     names = [(1, "red plate"), (2, "small widget"), (3, "blue ring")]
-    toppings = [(i, f"T{i % 4}") for i in range(1, 6)]
-    recipes = [(1, "1, 2, 3"), (2, "2, 4, 4"), (4, "9, 1")]
+    toppings = [(i, rnd.choice([f"T{i % 4}", f"T{i % 4}", None])) for i in range(1, 6)]
+    recipes = [(1, "1, 2, 3"), (2, rnd.choice(["2, 4, 4", None, "", "9"])), (4, "9, 1")]
+    if rnd.random() < 0.4:
+        recipes.append((1, rnd.choice(["1, 2, 3", "4, 5", None])))      # a product with two recipe rows
     runners = [(r, D(2024, 1, 1) + dt.timedelta(days=rnd.randint(-3, 33))) for r in range(6)]
     ratings = [(o, 100 + o % 3, o % 3, 1 + o % 5) for o in range(1, 8) if rnd.random() < 0.8]
     return dict(customer_orders=lines, runner_orders=runs, pizza_names=names, pizza_toppings=toppings,
                 pizza_recipes=recipes, runners=runners, runner_ratings=ratings)
 
 
+@pytest.fixture(autouse=True)
+def small_jobs(spark):
+    """Micro-tables: one partition and plans fixed beforehand."""
+    wanted = {"spark.sql.shuffle.partitions": "1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in old.items():
+        spark.conf.set(k, v)
+
+
 def _compare(spark, tables, keys):
     con = duckdb.connect()
     frames = {}
@@ -121,19 +136,49 @@ def _compare(spark, tables, keys):
     return bad
 
 
-@settings(max_examples=3, deadline=None, suppress_health_check=list(HealthCheck))
+def _stacked(draws, shift):
+    """Many draws as one set of tables: ``shift(name, row, k)`` moves the ids
+    of draw k apart, so that no two draws meet."""
+    return {name: [shift(name, row, k) for k, t in enumerate(draws) for row in t[name]] for name in draws[0]}
+
+
+def _loyalty_shift(name, row, k):
+    if name == "menu":
+        return (row[0] + 10 * k, *row[1:])
+    customer = None if row[0] is None else f"{row[0]}{k}"
+    return (customer, row[1], row[2] + 10 * k) if name == "sales" else (customer, row[1])
+
+
+def _delivery_shift(name, row, k):
+    if name == "pizza_toppings":
+        return row                                       # ids inside lists: one dimension for all draws
+    at = {"customer_orders": (100, 1000, 10), "runner_orders": (100, 10), "pizza_names": (10,), "pizza_recipes": (10,),
+          "runners": (10,), "runner_ratings": (100, 1000, 10)}[name]
+    return (*[v + d * k for v, d in zip(row, at)], *row[len(at):])
+
+
+WHOLE_TABLE = ["top_item", "join_all", "rank_all"]       # one NULL member key, or one best item, decides for all
+
+
+def test_loyalty_semantics_of_many_draws(spark):
+    draws = [_loyalty_rows(random.Random(seed)) for seed in range(30)]
+    for t in draws:
+        t["members"] = [m for m in t["members"] if m[0] is not None]
+    assert _compare(spark, _stacked(draws, _loyalty_shift), LOYALTY) == {}
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
 @given(seed=st.integers(0, 100_000))
 @example(seed=0)
-def test_loyalty_semantics_random(spark, seed):
-    tables = _loyalty_rows(random.Random(seed))
-    assert _compare(spark, tables, LOYALTY) == {}
+def test_loyalty_semantics_of_whole_tables(spark, seed):
+    assert _compare(spark, _loyalty_rows(random.Random(seed)), WHOLE_TABLE) == {}
 
 
-@settings(max_examples=2, deadline=None, suppress_health_check=list(HealthCheck))
-@given(seed=st.integers(0, 100_000))
-@example(seed=1)
-def test_delivery_semantics_random(spark, seed):
-    tables = _delivery_rows(random.Random(seed))
-    keys = [k for k in ORACLE_PARTS if k not in LOYALTY and k not in ("clean_runner_orders",
-                                                                      "clean_customer_orders")]
+@pytest.mark.parametrize("first", [0, 30, 60, 90])
+def test_delivery_semantics_of_many_draws(spark, first):
+    draws = [_delivery_rows(random.Random(seed)) for seed in range(first, first + 30)]
+    tables = _stacked([{k: v for k, v in t.items() if k != "pizza_toppings"} for t in draws], _delivery_shift)
+    tables["pizza_toppings"] = draws[0]["pizza_toppings"]
+    keys = [k for k in ORACLE_PARTS if k not in LOYALTY and k not in ("clean_runner_orders", "clean_customer_orders",
+                                                                      "ratings_written")]
     assert _compare(spark, tables, keys) == {}
