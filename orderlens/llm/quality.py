@@ -172,4 +172,62 @@ def accepted(docs: DataFrame) -> DataFrame:
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_report(table(spark, sf_dir, "documents"))
+    return quality_report(table(spark, sf_dir, "documents")).select(*REPORT)
+
+
+def _oracle() -> str:
+    space, classes = r"[\x20\x09-\x0D]", ["[a-z]", r"[\x20\x09-\x0D]", "[#*$%&|<>]", r"\p{Lu}", r"\p{L}", r"\p{Nd}", r"[.,;:!?''\"()-]"]
+    size = len(next(iter(COMMON_WORDS.values()))) + 1
+    lists = " ".join(f"WHEN '{k}' THEN {v}" for k, v in COMMON_WORDS.items())
+    left = ["t"]
+    for c in classes:
+        left.append(f"regexp_replace({left[-1]}, '{c}+', '', 'g')")
+    counts = ", ".join([f"length({a}) - length({b})" for a, b in zip(left, left[1:])] + [f"length({left[-1]})"])
+
+    def sums(name: str, n: int) -> str:
+        return "[" + ", ".join(f"sum(coalesce({name}[{i}], 0))" for i in range(1, n + 1)) + "]"
+
+    def distance(p: str, q: str) -> str:
+        return f"""CASE WHEN list_sum({p}) > 0 AND list_sum({q}) > 0 AND len({p}) = len({q}) THEN sqrt(greatest(0, list_sum(list_transform(
+          list_zip(list_transform({p}, lambda x: x / list_sum({p})), list_transform({q}, lambda x: x / list_sum({q}))), lambda z:
+          CASE WHEN z[1] > 0 THEN z[1] * log2(2 * z[1] / (z[1] + z[2])) / 2 ELSE 0 END +
+          CASE WHEN z[2] > 0 THEN z[2] * log2(2 * z[2] / (z[1] + z[2])) / 2 ELSE 0 END)))) ELSE 0 END"""
+
+    return f"""
+WITH d AS (
+  SELECT doc_id, lang, t, list_filter(regexp_split_to_array(t, '{space}+'), lambda x: x <> '') AS w,
+         list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines, [{counts}] AS classes
+  FROM (SELECT doc_id, lang, coalesce(text, '') AS t FROM documents)
+), e AS (
+  SELECT *, len(w) AS n, list_transform(coalesce(CASE lang {lists} END, []), lambda c: len(list_filter(w, lambda x: lower(x) = c))) AS listed FROM d
+), f AS (
+  SELECT *, list_append(listed, n - coalesce(list_sum(listed), 0)) AS common FROM e
+), win AS (
+  SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS win
+  FROM (SELECT doc_id, w, unnest(range(1, n - 1)) AS i FROM f WHERE n > 2)
+), again AS (
+  SELECT doc_id, unnest([i, i + 1, i + 2]) AS i FROM win QUALIFY count(*) OVER (PARTITION BY doc_id, win) > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT i) AS k FROM again GROUP BY doc_id
+), base AS (
+  SELECT f.*, coalesce(k, 0) AS k, n < {MIN_WORDS} OR 100 * coalesce(k, 0) > {MAX_REPEAT_PERCENT} * n AS failed
+  FROM f LEFT JOIN covered USING (doc_id)
+), ref AS (
+  SELECT lang, {sums("classes", len(classes) + 1)} AS ref, {sums("common", size)} AS ref_common FROM f WHERE n >= {MIN_WORDS}
+    AND lang IN (SELECT lang FROM f GROUP BY lang HAVING count(*) * {REFERENCE_SHARE} >= (SELECT count(*) FROM f)) GROUP BY lang
+), pooled AS (
+  SELECT {sums("classes", len(classes) + 1)} AS pooled FROM f WHERE n >= {MIN_WORDS}
+), near AS (
+  SELECT base.*, len(t) - classes[2] AS chars, {distance("classes", "coalesce(ref, pooled)")} AS char_distance,
+         {distance("common", "ref_common")} AS word_distance
+  FROM base LEFT JOIN ref USING (lang), pooled
+)
+SELECT doc_id, n AS n_words, chars AS word_chars, classes[3] AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+       k AS n_repeat_words, failed AS base_failed,
+       NOT failed AND NOT (chars >= {MIN_CHARS} AND char_distance > {MAX_CHAR_DISTANCE})
+         AND NOT (n >= {MIN_JUDGED_WORDS} AND len(common) > 1 AND coalesce(word_distance, 0) > {MAX_WORD_DISTANCE} + {WORD_NOISE} / sqrt(n)) AS kept
+FROM near
+"""
+
+
+OP6_SQL = _oracle()

@@ -9,7 +9,7 @@ from orderlens.llm.lexicon import op10_bpe
 from orderlens.llm.licenses import op4_licences
 from orderlens.llm.linededup import OP3_SQL, op3_line_dedup
 from orderlens.llm.packing import op9_packing
-from orderlens.llm.quality import op6_quality
+from orderlens.llm.quality import OP6_SQL, op6_quality
 from orderlens.llm.secretscan import op8_secrets
 from orderlens.llm.tokenfile import op5_token_file
 from orderlens.llm.topk import OP1_SQL, op1_topk
@@ -33,4 +33,5 @@ ORACLE: dict[str, str] = {
     "op1_topk": OP1_SQL,
     "op2_jaccard": OP2_SQL,
     "op3_line_dedup": OP3_SQL,
+    "op6_quality": OP6_SQL,
 }
