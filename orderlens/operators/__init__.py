@@ -1,11 +1,11 @@
 from orderlens.operators.calendar import key_range, weekday_list, zero_fill
 from orderlens.operators.cleaning import clean_customer_orders, clean_runner_orders
 from orderlens.operators.joins import not_in
-from orderlens.operators.lists import explode_list, keyed_dimension, resolve_list_texts
-from orderlens.operators.ranking import dense_rank_by_distinct, keep_rank_one, top_one
+from orderlens.operators.lists import explode_list, keyed_dimension
+from orderlens.operators.ranking import keep_rank_one, top_one
 
 __all__ = [
     "key_range", "weekday_list", "zero_fill", "clean_customer_orders", "clean_runner_orders",
-    "not_in", "explode_list", "keyed_dimension", "resolve_list_texts",
-    "dense_rank_by_distinct", "keep_rank_one", "top_one",
+    "not_in", "explode_list", "keyed_dimension",
+    "keep_rank_one", "top_one",
 ]
