@@ -10,9 +10,11 @@ partners may be small enough, in the next lower band's.
 
 1. Sets that are equal form one class; classes go on.
 2. Signatures meet in hash buckets of bounded size. A signature that more than
-   ``GROUP`` classes share is too dear to compare all with all: it only links
-   its classes to the first of them. A class is settled if its other
-   signatures still outnumber the elements that may differ.
+   ``GROUP`` classes share is too dear to compare all with all and is left
+   out. Two classes become a candidate if they share as many of the others
+   as they must: the non-empty segments of either, less the elements that
+   may differ, less its left-out ones. A class is settled if that is one or
+   more.
 3. Unsettled classes are matched among themselves with one-deletion
    neighbourhoods: each indexes its segments and its segments less one
    element, and asks for as many as it needs, the cheapest (smallest) first;
@@ -169,8 +171,12 @@ def _bucketed(sig: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 _ROWS = "bucket int, kind int, x binary, y binary"
-_OUT = "kind int, a long, b long"
-STAR, PAIR, SHARED, LEFT = 1, 2, 3, 4
+# What the buckets give: STAR and PAIR: classes a and b share c signatures
+# (STAR: a is the first of a group), NEAR: c left-out ones; SHARED: class a has
+# the left-out signature b; LEFT: class a is not settled; SPARE: class a has b
+# non-empty segments more than it needs, of c.
+_OUT = "kind int, a long, b long, c long"
+STAR, PAIR, NEAR, SHARED, LEFT, SPARE = 1, 2, 3, 4, 5, 6
 
 
 def _row_batch(rows: list[tuple[int, int, bytes, bytes]]) -> pa.RecordBatch:
@@ -196,8 +202,9 @@ def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 # Rows on the way to the buckets: signatures of classes (x: low 32 bits, y:
 # class << 1 | lower band), the same where the task has found the signature
-# shared by many, links, and shared signatures.
-SIGN, MANY, LINK, HELD = 0, 1, 2, 3
+# shared by many, links, shared signatures, and how many signatures more than
+# needed a class has.
+SIGN, MANY, LINK, HELD, MORE = 0, 1, 2, 3, 4
 
 
 def signature_rows(docs: DataFrame, buckets: int, words: int, group: int) -> DataFrame:
@@ -223,18 +230,22 @@ def signature_rows(docs: DataFrame, buckets: int, words: int, group: int) -> Dat
     def rows_of(flat, count, keys):
         flat = np.concatenate(flat)
         first = np.cumsum(count) - count
-        sig, d = [], []
-        for lower, (which, band, _) in enumerate(roles(count)):
+        sig, d, who, spare = [], [], [], []
+        for lower, (which, band, need) in enumerate(roles(count)):
             if len(which):
                 seg = Segments(gathered(flat, first[which], count[which]), count[which], band)
                 sig.append(seg.signature)
                 d.append(keys[which][seg.owner] << 1 | lower)
+                who.append(keys[which] << 1 | lower)
+                full = np.bincount(seg.owner, minlength=len(which))
+                spare.append(np.stack((full - need, full), 1))
         sig, d = np.concatenate(sig), np.concatenate(d)
         order = np.lexsort((d, sig))
         sig, d = sig[order], d[order]
         at, size = _runs(sig)
         many = np.repeat(size > group, size)
         rows = _scatter(sig[~many], d[~many], SIGN, buckets)
+        rows.append((int(keys[0] % buckets), MORE, np.concatenate(who).tobytes(), np.concatenate(spare).astype("<i8").tobytes()))
         if many.any():
             head = np.repeat(at, size)
             rest = many & (np.arange(len(sig)) != head)
@@ -242,8 +253,7 @@ def signature_rows(docs: DataFrame, buckets: int, words: int, group: int) -> Dat
             bucket, low = _bucketed(sig[many], buckets)
             here = int(bucket[0])
             rows.append((here, HELD, d[many].tobytes(), (bucket << 32 | low).tobytes()))
-            links = np.unique(np.stack((d[head[rest]] >> 1, d[rest] >> 1), 1), axis=0)
-            rows.append((here, LINK, links[:, 0].tobytes(), links[:, 1].tobytes()))
+            rows.append((here, LINK, d[head[rest]].tobytes(), d[rest].tobytes()))
         return rows
 
     return docs.select(F.col("text").cast("string")).mapInArrow(make, _ROWS)
@@ -255,17 +265,25 @@ def _parts(count: list[int], most: int = 1_500_000) -> list[tuple[int, int]]:
     return [(a, z) for a, z in zip([0, *cuts.tolist()], [*cuts.tolist(), len(count)]) if z > a]
 
 
-def _found(kinds: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.Table:
-    parts = [(np.full(len(a), k, np.int32), a.astype(np.int64), b.astype(np.int64)) for k, a, b in kinds if len(a)]
-    columns = [np.concatenate(c) for c in zip(*parts)] if parts else [np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)]
-    return pa.table(columns, names=["kind", "a", "b"])
+def _found(kinds: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]) -> pa.Table:
+    parts = [(np.full(len(a), k, np.int32), *(x.astype(np.int64) for x in (a, b, c))) for k, a, b, c in kinds if len(a)]
+    columns = [np.concatenate(c) for c in zip(*parts)] if parts else [np.zeros(0, np.int32), *[np.zeros(0, np.int64)] * 3]
+    return pa.table(columns, names=["kind", "a", "b", "c"])
 
 
-def _ordered(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Distinct pairs, the smaller first, of different classes."""
-    low, high = np.minimum(a, b), np.maximum(a, b)
-    pairs = np.stack((low, high), 1)[low != high]
-    return np.unique(pairs, axis=0) if len(pairs) else pairs
+def _counted(kind: int, parts: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple]:
+    """Pairs, the smaller first, of different classes, and how often each
+    occurs. Pairs met in both classes' lower band only are left out: one of
+    two similar sets is in its own band."""
+    if not parts:
+        return []
+    a, b = (np.concatenate(x) for x in zip(*parts))
+    pairs = np.stack((np.minimum(a, b), np.maximum(a, b)), 1)
+    pairs = pairs[((a >> 1) != (b >> 1)) & ((a & b & 1) == 0)]
+    if not len(pairs):
+        return []
+    pairs, n = np.unique(pairs, axis=0, return_counts=True)
+    return [(kind, pairs[:, 0], pairs[:, 1], n)]
 
 
 def _table_rows(t: pa.Table):
@@ -276,18 +294,19 @@ def _table_rows(t: pa.Table):
 def meet(group: int):
     """The work of one bucket of signatures."""
     def work(t: pa.Table) -> pa.Table:
-        sig, d, flag, links, held = [], [], [], [], []
+        sig, d, flag, links, held, more = [], [], [], [], [], []
         bucket = 0
         for bucket, kind, x, y in _table_rows(t):
-            if kind in (SIGN, MANY):
+            if kind == MORE:
+                more.append((np.frombuffer(x, np.int64), np.frombuffer(y, np.int64).reshape(-1, 2)))
+            elif kind in (SIGN, MANY):
                 sig.append(np.frombuffer(x, np.uint32))
                 d.append(np.frombuffer(y, np.int64))
                 flag.append(np.full(len(sig[-1]), kind == MANY))
             else:
                 (held if kind == HELD else links).append((np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)))
-        out = [(SHARED, *h) for h in held]
-        star = [np.stack(x, 1) for x in links]
-        other = []
+        out = [(SHARED, *h, h[0]) for h in held] + [(SPARE, d, m[:, 0], m[:, 1]) for d, m in more]
+        near, star, other = list(links), [], []
         if sig:
             sig, d, flag = np.concatenate(sig), np.concatenate(d), np.concatenate(flag)
             order = np.lexsort((~flag, d, sig))
@@ -299,22 +318,17 @@ def meet(group: int):
             at, size = _runs(sig)
             big = (np.add.reduceat(flag, at) > 0) | (size > group)
             for s in np.unique(size[~big & (size > 1)]).tolist():
-                rows = d[at[~big & (size == s)][:, None] + np.arange(s)] >> 1
+                rows = d[at[~big & (size == s)][:, None] + np.arange(s)]
                 i, j = np.triu_indices(s, 1)
-                star.append(np.stack((rows[:, i[i == 0]].ravel(), rows[:, j[i == 0]].ravel()), 1))
+                star.append((rows[:, i[i == 0]].ravel(), rows[:, j[i == 0]].ravel()))
                 if s > 2:
-                    other.append(np.stack((rows[:, i[i > 0]].ravel(), rows[:, j[i > 0]].ravel()), 1))
+                    other.append((rows[:, i[i > 0]].ravel(), rows[:, j[i > 0]].ravel()))
             if big.any():
                 inside = np.repeat(big, size)
                 head = np.repeat(at, size)
-                star.append(np.stack((d[head[inside]] >> 1, d[inside] >> 1), 1))
-                out.append((SHARED, d[inside], np.int64(bucket) << 32 | sig[inside].astype(np.int64)))
-        for kind, parts in ((STAR, star), (PAIR, other)):
-            if parts:
-                p = np.concatenate(parts)
-                p = _ordered(p[:, 0], p[:, 1])
-                out.append((kind, p[:, 0], p[:, 1]))
-        return _found(out)
+                near.append((d[head[inside]], d[inside]))
+                out.append((SHARED, d[inside], np.int64(bucket) << 32 | sig[inside].astype(np.int64), d[inside]))
+        return _found(out + _counted(STAR, star) + _counted(PAIR, other) + _counted(NEAR, near))
 
     return work
 
@@ -322,15 +336,15 @@ def meet(group: int):
 # --- one-deletion neighbourhoods -------------------------------------------
 
 def deletion_rows(sets: DataFrame, buckets: int) -> DataFrame:
-    """(dk, sh, shared) -> rows for the buckets from the classes whose other
-    signatures are too few: SIGN rows with y = class << 1 | asks, and LEFT rows
-    for classes that cannot be settled this way."""
+    """(dk, sh, shared, c) -> rows for the buckets from the classes whose other
+    signatures are too few: SIGN rows with y = class << 1 | asks, component c,
+    and LEFT rows for classes that cannot be settled this way."""
     step = np.uint64(0x1357), np.uint64(0x2468)
 
     def make(batches):
         for b in batches:
             rows, sig, d = [], [], []
-            for key, sh, shared in zip(*(b.column(i).to_pylist() for i in range(3))):
+            for key, sh, shared, c in zip(*(b.column(i).to_pylist() for i in range(4))):
                 s = np.frombuffer(sh, "<u8")
                 shared = np.array(shared, np.int64)
                 n = np.array([len(s)])
@@ -349,7 +363,7 @@ def deletion_rows(sets: DataFrame, buckets: int) -> DataFrame:
                         less = np.repeat(seg.sum + seg.place, seg.size) - seg.element
                         less = less[np.repeat(over, seg.size)]
                         sig += [exact, _mix(_mix(less) ^ step[1])]                       # what it offers
-                        d.append(np.full(len(exact) + len(less), key << 1))
+                        d.append(np.tile((key << 1, c), (len(exact) + len(less), 1)))
                         twice = np.flatnonzero(free & over)
                         twice = twice[np.argsort(seg.size[twice], kind="stable")][:short]
                         if len(twice) < short:
@@ -358,7 +372,7 @@ def deletion_rows(sets: DataFrame, buckets: int) -> DataFrame:
                         gone = less[np.repeat(chosen[over], seg.size[over])]
                         asks = [exact[free], _mix(seg.signature[chosen] ^ step[1]), _mix(_mix(gone) ^ step[0])]
                         sig += asks
-                        d.append(np.full(sum(map(len, asks)), key << 1 | 1))
+                        d.append(np.tile((key << 1 | 1, c), (sum(map(len, asks)), 1)))
             if sig:
                 rows += _scatter(np.concatenate(sig), np.concatenate(d), SIGN, buckets)
             yield _row_batch(rows)
@@ -376,32 +390,30 @@ def meet_deletions(pairs: int):
                 d.append(np.frombuffer(y, np.int64))
             else:
                 left.append(np.frombuffer(x, np.int64))
-        star, other = [], []
+        other = []
         if sig:
-            sig, d = np.concatenate(sig), np.concatenate(d)
-            order = np.lexsort((d, sig))
-            sig, d = sig[order], d[order]
+            sig, d = np.concatenate(sig), np.concatenate(d).reshape(-1, 2)
+            order = np.lexsort((d[:, 0], sig))
+            sig, d, c = sig[order], d[order, 0], d[order, 1]
             new = np.ones(len(sig), bool)
             new[1:] = (sig[1:] != sig[:-1]) | (d[1:] != d[:-1])
-            sig, d = sig[new], d[new]
+            sig, d, c = sig[new], d[new], c[new]
             at, size = _runs(sig)
             asks = np.add.reduceat(d & 1, at)
-            several = (d[at] >> 1) != (d[at + size - 1] >> 1)
-            for i in np.flatnonzero((asks > 0) & (asks < size) & several).tolist():
-                run = d[at[i]:at[i] + size[i]]
-                ask, offer = run[run & 1 == 1] >> 1, run[run & 1 == 0] >> 1
-                if len(ask) * len(offer) > pairs:
-                    left.append(ask)
-                    star.append(np.stack((np.full(len(run), run[0] >> 1), run >> 1), 1))
+            mixed = np.minimum.reduceat(c, at) != np.maximum.reduceat(c, at)       # not of one component yet
+            for i in np.flatnonzero((asks > 0) & (asks < size) & mixed).tolist():
+                run, of = d[at[i]:at[i] + size[i]], c[at[i]:at[i] + size[i]]
+                ask, offer = np.flatnonzero(run & 1), np.flatnonzero((run & 1) == 0)
+                of_ask, n_ask = np.unique(of[ask], return_counts=True)
+                of_offer, n_offer = np.unique(of[offer], return_counts=True)
+                _, i1, i2 = np.intersect1d(of_ask, of_offer, return_indices=True)
+                if len(ask) * len(offer) - int((n_ask[i1] * n_offer[i2]).sum()) > pairs:
+                    left.append(run[ask] >> 1)
                 else:
-                    other.append(np.stack((np.repeat(ask, len(offer)), np.tile(offer, len(ask))), 1))
-        out = [(LEFT, x, x) for x in ([np.unique(np.concatenate(left))] if left else [])]
-        for kind, parts in ((STAR, star), (PAIR, other)):
-            if parts:
-                p = np.concatenate(parts)
-                p = _ordered(p[:, 0], p[:, 1])
-                out.append((kind, p[:, 0], p[:, 1]))
-        return _found(out)
+                    x, y = np.nonzero(of[ask][:, None] != of[offer][None, :])
+                    other.append((run[ask[x]] & ~1, run[offer[y]]))
+        gone = np.unique(np.concatenate(left)) if left else np.zeros(0, np.int64)
+        return _found([(LEFT, gone, gone, gone), *_counted(PAIR, other)])
 
     return work
 
@@ -445,10 +457,8 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs of classes (a, b) -> links (a, b) of their first documents."""
     one = sets.select(F.col("dk").alias("a"), F.col("rep").alias("ra"), F.col("n").alias("na"), F.col("sh").alias("sa"))
     two = sets.select(F.col("dk").alias("b"), F.col("rep").alias("rb"), F.col("n").alias("nb"), F.col("sh").alias("sb"))
-    both = (pairs.select("a", "b").join(sets.select(F.col("dk").alias("a"), F.col("n").alias("n1")), "a")
-            .join(sets.select(F.col("dk").alias("b"), F.col("n").alias("n2")), "b")
-            .filter("100 * least(n1, n2) >= 80 * greatest(n1, n2)").select("a", "b")
-            .join(one, "a").join(two, "b").select("ra", "rb", "sa", "sb"))
+    both = (pairs.select("a", "b").join(one, "a").join(two, "b")
+            .filter("100 * least(na, nb) >= 80 * greatest(na, nb)").select("ra", "rb", "sa", "sb"))
 
     def check(batches):
         for b in batches:
@@ -480,7 +490,8 @@ def rare_pairs(left: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame
     rank = F.row_number().over(Window.partitionBy("dk").orderBy("f", "e"))
     prefix = (rows.join(often.filter("f > 1"), "e", "left").withColumn("f", F.coalesce("f", F.lit(1)))
               .withColumn("r", rank).filter("r <= n - ceil(0.8 * n) + 1 AND f > 1").select("dk", "e"))
-    marked = written(prefix.join(labels, "dk", "left").withColumn("c", F.coalesce("c", F.col("dk"))), "prefix")
+    own = sets.join(labels, "dk", "left").select("dk", F.coalesce("c", "rep").alias("c"))
+    marked = written(prefix.join(own, "dk"), "prefix")
     # Elements that meet in one component only are done with.
     mixed = written(marked.groupBy("e").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).filter("c1 < c2").select("e"), "mixed")
     there = written(marked.join(mixed, "e"), "there")
@@ -499,9 +510,23 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, group: int = GROUP,
 
     found = written(signature_rows(docs.filter("doc_id IS NOT NULL"), buckets, words, group)
                     .groupBy("bucket").applyInArrow(meet(group), _OUT), "found")
-    candidates = written(found.filter(F.col("kind") <= PAIR).groupBy("a", "b").agg(F.min("kind").alias("kind")), "candidates")
-    shared = written(found.filter(F.col("kind") == SHARED).groupBy(F.shiftright("a", 1).alias("dk"))
-                     .agg(F.collect_set("b").alias("shared")), "shared")      # at most a set's own signatures
+    shared = found.filter(F.col("kind") == SHARED).groupBy("a").agg(F.collect_set("b").alias("shared"))   # a set's own
+    # What a class must share with a similar one, of the signatures not left out.
+    must = written(found.filter(F.col("kind") == SPARE).groupBy("a").agg(F.min("b").alias("spare"), F.max("c").alias("full"))
+                   .join(shared, "a", "left").withColumn("must", F.col("spare") + 1 - F.greatest(F.size("shared"), F.lit(0)))
+                   .withColumn("shared", F.when(F.col("must") < 1, F.col("shared"))), "must")
+    pairs_met = found.filter(F.col("kind") <= NEAR).withColumn("near", F.col("kind") == NEAR).groupBy("a", "b", "near").agg(
+        F.min("kind").alias("kind"), F.sum("c").alias("c"))
+    one, two = (must.select(F.col("a").alias(k), F.col("must").alias(f"must_{k}"), F.col("full").alias(f"full_{k}")) for k in "ab")
+    # Left-out signatures prove nothing, but classes that share a fifth of all
+    # are likely links, and links found early save later work.
+    enough = F.when(F.col("near"), 5 * F.col("c") >= F.least("full_a", "full_b")).otherwise(
+        F.col("c") >= F.greatest("must_a", "must_b"))
+    candidates = written(pairs_met.join(one, "a").join(two, "b").filter(enough)
+                         .groupBy(F.shiftright("a", 1).alias("a"), F.shiftright("b", 1).alias("b"))
+                         .agg(F.min(F.when(F.col("near"), F.lit(STAR)).otherwise(F.col("kind"))).alias("kind")), "candidates")
+    shared = written(must.filter("must < 1").groupBy(F.shiftright("a", 1).alias("dk"))
+                     .agg(F.flatten(F.collect_list("shared")).alias("shared")), "shared")
     keys = (candidates.select(F.explode(F.array("a", "b")).alias("dk")).unionByName(shared.select("dk"))).distinct()
     sets = written(sets_of(docs, classes, keys, words), "sets")
 
@@ -515,16 +540,16 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, group: int = GROUP,
     label = _labels(links, sets)
     links = links.unionByName(written(verified(_across(candidates.filter(F.col("kind") == PAIR), label), sets), "links"))
 
-    asking = sets.join(shared, "dk").select("dk", "sh", "shared")
-    near = written(deletion_rows(asking, buckets).groupBy("bucket").applyInArrow(meet_deletions(pairs), _OUT), "near")
-    if not near.isEmpty():
+    if not shared.isEmpty():
         label = _labels(links, sets)
-        more = near.filter(F.col("kind") <= PAIR).select("a", "b").distinct()
-        links = written(links.unionByName(verified(_across(more, label), sets)), "links")
+        asking = (sets.join(shared, "dk").join(label, "dk", "left")
+                  .select("dk", "sh", "shared", F.coalesce("c", "rep").alias("c")))
+        near = written(deletion_rows(asking, buckets).groupBy("bucket").applyInArrow(meet_deletions(pairs), _OUT), "near")
+        more = near.filter(F.col("kind") == PAIR).select(F.shiftright("a", 1).alias("a"), F.shiftright("b", 1).alias("b")).distinct()
+        links = written(links.unionByName(verified(more, sets)), "links")
         left = written(near.filter(F.col("kind") == LEFT).select(F.col("a").alias("dk")).distinct(), "left")
         if not left.isEmpty():
-            label = _labels(links, sets)
-            links = links.unionByName(written(verified(rare_pairs(left, sets, label), sets), "links"))
+            links = links.unionByName(written(verified(rare_pairs(left, sets, _labels(links, sets)), sets), "links"))
 
     part = components(links)
     by_class = written(classes.join(part, classes["rep"] == part["node"], "left")
