@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm.shared import table
+from orderlens.llm.shared import ship_code, table
 
 # The patterns, and the least length of a match.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -150,6 +150,7 @@ def random_limits(docs: DataFrame) -> dict[str, int]:
             yield pa.record_batch([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int32())],
                                   names=["family", "level"])
 
+    ship_code(docs.sparkSession)
     rows = (docs.select(F.col("text").cast("string")).mapInArrow(count, "family string, level int")
             .groupBy("family", "level").count().collect())
     return step_up([(r["family"], r["level"], r["count"]) for r in rows])

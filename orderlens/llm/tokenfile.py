@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm.packing import END_ID, token_batches
-from orderlens.llm.shared import running_start, shared_path, table
+from orderlens.llm.shared import running_start, shared_path, ship_code, table
 from orderlens.llm.wordbpe import encoder, vocabulary_path
 
 BLOCK = 4096                 # ids of a block; a multiple of 8
@@ -72,6 +72,7 @@ def from_planes(planes: list[bytes], n_ids: int, block: int = BLOCK) -> np.ndarr
 def write_token_file(docs: DataFrame, path: str, vocabulary: str | None = None, end_id: int = END_ID) -> None:
     """Encode docs (doc_id, text) and write ``path``/chunks and ``path``/index."""
     spark = docs.sparkSession
+    ship_code(spark)
     vocabulary = vocabulary or vocabulary_path()
 
     def chunks(batches):
@@ -116,6 +117,7 @@ def write_token_file(docs: DataFrame, path: str, vocabulary: str | None = None,
 def read_token_file(spark: SparkSession, path: str, keep_ids: bool = False) -> DataFrame:
     """``path`` -> doc_id, start, n_tokens, ids_crc32 and, with ``keep_ids``,
     ids (little-endian unsigned 32-bit), read from the files."""
+    ship_code(spark)
     index = spark.read.schema("part int, chunk int, start long").parquet(f"{path}/index")
     base = index.filter("chunk = 0").select("part", F.col("start").alias("base"))
     chunk = spark.read.schema(CHUNK_SCHEMA).parquet(f"{path}/chunks")

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from orderlens.llm.shared import table, written
+from orderlens.llm.shared import ship_code, table, written
 
 BLOCK_ROWS = 512
 GROUP_BLOCKS = 32
@@ -164,6 +164,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = SCAL
           chunk_queries: int = CHUNK_QUERIES) -> DataFrame:
     """For each row of ``queries`` the k rows of ``vectors`` with the highest
     integer inner product: query_id, rank, vec_id, score."""
+    ship_code(vectors.sparkSession)
     pick = [F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("v")]
     rows = vectors.filter(usable(id_col, vector_col)).select(*pick)
     asked = queries.filter(usable(id_col, vector_col)).select(*pick).groupBy("id").agg(F.min("v").alias("v"))
