@@ -27,13 +27,14 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm.packing import TEXTS_PER_BATCH
-from orderlens.llm.shared import shared_path, table
+from orderlens.llm.packing import TEXTS_PER_BATCH, text_slices
+from orderlens.llm.shared import ship_code, shared_path, table, write_bytes, written
 from orderlens.llm.wordbpe import (MAX_WORD, WordEncoder, Words, gathered, in_order, vocabulary_path, word_spans)
 
 LEXICON_WORDS = 65_536
 NO_RANK = np.int64(1 << 40)
-_COMBINE_WORDS = 300_000          # distinct words a task counts before it passes them on
+DECODE_ROWS = 500
+_COMBINE_WORDS = 200_000          # distinct words a task counts before it passes them on
 _FIELDS = (("arc_key", "<i8"), ("arc_target", "<i4"), ("arc_output", "<i4"), ("final", "u1"),
            ("id_first", "<i8"), ("id_flat", "<u4"))
 
@@ -319,48 +320,58 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def build_lexicon(docs: DataFrame, path: str | None = None, size: int = LEXICON_WORDS) -> str:
-    """Compile the ``size`` most frequent words of docs (text) and register
-    the file with Spark. Returns its name for encode_documents. Only
-    ``size`` words reach the driver."""
+    """Compile the most frequent words of docs (text), ``size`` at most, and
+    register the file with Spark. Returns its name for encode_documents.
+
+    Words are ranked by sixteenths of powers of two of their count, so that
+    the driver sees a table of a thousand levels at most, and then the words
+    of the levels that fit."""
     spark = docs.sparkSession
-    words = [r.word for r in word_counts(docs).orderBy(F.desc("n"), "word").limit(size).select("word").collect()]
+    ship_code(spark)
+    counts = written(word_counts(docs).withColumn("level", F.floor(F.log2("n") * 16).cast("int")), "words")
+    least, held = 0, 0
+    for r in counts.groupBy("level").count().orderBy(F.desc("level")).collect():
+        held += r["count"]
+        if held > size:
+            least = r["level"] + 1
+            break
+    words = [r.word for r in counts.filter(F.col("level") >= least).select("word").collect()]
     v = vocabulary(path or vocabulary_path())
     raw = to_bytes(compile_lexicon(words, [v.merge(w.encode()) for w in words]))
     uri = f"{shared_path(spark, 'lexicon')}.bin"
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(uri)
-    stream = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(target)
-    stream.write(raw)
-    stream.close()
+    write_bytes(spark, uri, raw)
     spark.sparkContext.addFile(uri)
     return uri.rpartition("/")[2]
 
 
-@functools.cache
+@functools.lru_cache(maxsize=1)       # a worker that goes on to another lexicon drops the last one
 def _encoder(path: str, lexicon: str) -> WordEncoder:
     return WordEncoder(path, LexiconResolver(map_file(SparkFiles.get(lexicon)), vocabulary(path)))
 
 
-def encode_documents(docs: DataFrame, lexicon: str, path: str | None = None) -> DataFrame:
-    """docs (doc_id, text) -> doc_id, ids (little-endian unsigned 32-bit)."""
+def encode_documents(docs: DataFrame, lexicon: str, path: str | None = None, decode: bool = False) -> DataFrame:
+    """docs (doc_id, text) -> doc_id, ids (little-endian unsigned 32-bit) and,
+    with ``decode``, the text that the ids stand for: beside the encoding, as a
+    pass of its own would hold a second Python worker for each task."""
     path = path or vocabulary_path()
 
     def encode(batches):
-        words = _encoder(path, lexicon)
+        words, v = _encoder(path, lexicon), vocabulary(path)
         for b in batches:
             doc_ids, texts = b.column(0), b.column(1)
-            sizes = np.array([len(t) + 1 if t else 1 for t in texts.to_pylist()]).cumsum()
-            cuts = np.flatnonzero(np.diff(sizes // TEXTS_PER_BATCH)) + 1
-            for a, z in zip([0, *cuts.tolist()], [*cuts.tolist(), b.num_rows]):
-                if a == z:
-                    continue
+            for a, z in text_slices(texts, TEXTS_PER_BATCH):
                 ids, counts = words.encode(texts.slice(a, z - a).to_pylist())
-                offsets = np.append(0, np.cumsum(counts * 4)).astype(np.int32)
-                data = pa.Array.from_buffers(pa.binary(), z - a, [None, pa.py_buffer(offsets), pa.py_buffer(ids.astype("<u4"))])
-                yield pa.record_batch([doc_ids.slice(a, z - a), data], names=["doc_id", "ids"])
+                stop = np.cumsum(counts)
+                offsets = np.append(0, stop * 4).astype(np.int32)
+                columns = [doc_ids.slice(a, z - a), pa.Array.from_buffers(
+                    pa.binary(), z - a, [None, pa.py_buffer(offsets), pa.py_buffer(ids.astype("<u4", copy=False))])]
+                if decode:
+                    columns.append(pa.array([v.decode(ids[e - n:e]).decode("utf-8", "replace")
+                                             for e, n in zip(stop.tolist(), counts.tolist())], pa.string()))
+                yield pa.record_batch(columns, names=["doc_id", "ids", "text"][:len(columns)])
 
     return (docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-            .mapInArrow(encode, "doc_id long, ids binary"))
+            .mapInArrow(encode, "doc_id long, ids binary" + (", text string" if decode else "")))
 
 
 def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -370,15 +381,17 @@ def decode_documents(encoded: DataFrame, path: str | None = None) -> DataFrame:
     def decode(batches):
         v = vocabulary(path)
         for b in batches:
-            texts = [v.decode(np.frombuffer(x.as_py() or b"", "<u4")).decode("utf-8", "replace") for x in b.column(1)]
-            yield pa.record_batch([b.column(0), b.column(1), pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
+            for at in range(0, b.num_rows, DECODE_ROWS):
+                part = b.slice(at, DECODE_ROWS)
+                texts = [v.decode(np.frombuffer(x.as_py() or b"", "<u4")).decode("utf-8", "replace") for x in part.column(1)]
+                yield pa.record_batch([part.column(0), part.column(1), pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
 
     return encoded.mapInArrow(decode, "doc_id long, ids binary, text string")
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return (decode_documents(encode_documents(docs, build_lexicon(docs)))
+    return (encode_documents(docs, build_lexicon(docs), decode=True)
             .select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
                     F.sha2("ids", 256).alias("ids_sha256"),
                     F.sha2(F.encode("text", "utf-8"), 256).alias("decoded_sha256")))

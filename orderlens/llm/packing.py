@@ -21,11 +21,12 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.llm.shared import running_start, table, written
+from orderlens.llm.shared import running_start, ship_code, table, written
 from orderlens.llm.wordbpe import encoder, vocabulary_path
 
 PACK_LENGTH = 1024
@@ -44,17 +45,19 @@ def piece_lengths(n_tokens: int, max_length: int) -> list[int]:
     return out
 
 
+def text_slices(texts: pa.Array, most: int) -> list[tuple[int, int]]:
+    """Cut a column of texts into slices of about ``most`` characters."""
+    size = np.cumsum(pc.fill_null(pc.utf8_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    cuts = (np.flatnonzero(np.diff(size // most)) + 1).tolist()
+    return [(a, z) for a, z in zip([0, *cuts], [*cuts, len(texts)]) if z > a]
+
+
 def token_batches(batches, encode, end_id: int):
     """Arrow batches of (doc_id, text) -> (doc ids, all ids with the end id
     after each text, first and length of each text's ids)."""
     for b in batches:
         doc_ids, texts = b.column(0), b.column(1)
-        sizes = np.diff(np.append(0, np.array([len(t) if t else 1 for t in texts.to_pylist()]).cumsum()))
-        cuts = np.flatnonzero(np.diff(sizes.cumsum() // TEXTS_PER_BATCH)) + 1
-        bounds = [0, *cuts.tolist(), b.num_rows]
-        for a, z in zip(bounds, bounds[1:]):
-            if a == z:
-                continue
+        for a, z in text_slices(texts, TEXTS_PER_BATCH):
             ids, counts = encode(texts.slice(a, z - a).to_pylist())
             lengths = counts + 1
             stop = np.cumsum(lengths)
@@ -72,6 +75,7 @@ def pack_documents(docs: DataFrame, vocabulary: str | None = None, max_length: i
     ``keep_ids``, ids (little-endian unsigned 32-bit)."""
     if max_length < 1 or max_length & (max_length - 1):
         raise ValueError("max_length must be a power of two")
+    ship_code(docs.sparkSession)
     vocabulary = vocabulary or vocabulary_path()
     schema = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, part int, nth long"
               + (", ids binary" if keep_ids else ""))

@@ -25,11 +25,11 @@ SPECIAL = "<|endoftext|>"
 # Classes of code points.
 OTHER, LETTER, NUMBER, SPACE, END, UNSURE = range(6)
 _END_CHAR = 0x110000
-_CHUNK_CHARS = 3_000_000
+_CHUNK_CHARS = 2_000_000
 # Words longer than this are encoded on their own: the hash below is only
 # relied on for short words.
 MAX_WORD = 64
-MAX_CACHED_WORDS = 1_000_000
+MAX_CACHED_WORDS = 600_000
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -107,7 +107,7 @@ def word_starts(points: np.ndarray, kinds: np.ndarray) -> np.ndarray:
 def word_keys(points: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """64-bit hashes of words (sums of powers along the array, so that equal
     words have equal hashes wherever they stand)."""
-    up, down = _powers(max(1 << 22, 1 << int(len(points)).bit_length()))
+    up, down = _powers(max(1 << 21, 1 << int(len(points)).bit_length()))
     with np.errstate(over="ignore"):
         mixed = points.astype(np.uint64)
         mixed += np.uint64(0x51ED27)
