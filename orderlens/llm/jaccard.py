@@ -17,9 +17,10 @@ partners may be small enough, in the next lower band's.
    more.
 3. Unsettled classes are matched among themselves with one-deletion
    neighbourhoods: each indexes its segments and its segments less one
-   element, and asks for as many as it needs, the cheapest (smallest) first;
-   a segment that is met with up to one element missing on either side
-   counts twice.
+   element, and asks for more than it needs, the cheapest (smallest) first; a
+   segment that may be met with one element missing on either side counts
+   twice. What it asks for beyond its need is, halved, the least number of
+   answers that a similar class gives.
 4. What that leaves (mostly sets of widely shared elements) is matched among
    itself by the elements that are rarest there.
 
@@ -39,11 +40,11 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderlens.llm.components import components
-from orderlens.llm.shared import table, written
+from orderlens.llm.shared import ship_code, table, written
 from orderlens.llm.wordbpe import gathered, word_keys
 
 WORDS = 5
@@ -204,7 +205,7 @@ def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 # class << 1 | lower band), the same where the task has found the signature
 # shared by many, links, shared signatures, and how many signatures more than
 # needed a class has.
-SIGN, MANY, LINK, HELD, MORE = 0, 1, 2, 3, 4
+SIGN, MANY, LINK, HELD, MORE, UNSETTLED = 0, 1, 2, 3, 4, 5
 
 
 def signature_rows(docs: DataFrame, buckets: int, words: int, group: int) -> DataFrame:
@@ -348,6 +349,7 @@ def deletion_rows(sets: DataFrame, buckets: int) -> DataFrame:
                 s = np.frombuffer(sh, "<u8")
                 shared = np.array(shared, np.int64)
                 n = np.array([len(s)])
+                answers = []
                 for which, band, need in roles(n):
                     if not len(which):
                         continue
@@ -365,14 +367,15 @@ def deletion_rows(sets: DataFrame, buckets: int) -> DataFrame:
                         sig += [exact, _mix(_mix(less) ^ step[1])]                       # what it offers
                         d.append(np.tile((key << 1, c), (len(exact) + len(less), 1)))
                         twice = np.flatnonzero(free & over)
-                        twice = twice[np.argsort(seg.size[twice], kind="stable")][:short]
-                        if len(twice) < short:
-                            rows.append((0, LEFT, np.array([key]).tobytes(), b""))
+                        twice = twice[np.argsort(seg.size[twice], kind="stable")][:short + int(need[0]) // 2]
+                        answers.append((len(twice) - short + 2) // 2 if len(twice) >= short else 0)
                         chosen = np.isin(np.arange(len(exact)), twice)
                         gone = less[np.repeat(chosen[over], seg.size[over])]
                         asks = [exact[free], _mix(seg.signature[chosen] ^ step[1]), _mix(_mix(gone) ^ step[0])]
                         sig += asks
                         d.append(np.tile((key << 1 | 1, c), (sum(map(len, asks)), 1)))
+                if answers:
+                    rows.append((key % buckets, MORE if min(answers) else UNSETTLED, np.array([key]).tobytes(), np.array([min(answers)]).tobytes()))
             if sig:
                 rows += _scatter(np.concatenate(sig), np.concatenate(d), SIGN, buckets)
             yield _row_batch(rows)
@@ -383,11 +386,13 @@ def deletion_rows(sets: DataFrame, buckets: int) -> DataFrame:
 def meet_deletions(pairs: int):
     """The work of one bucket of offers and requests."""
     def work(t: pa.Table) -> pa.Table:
-        sig, d, left = [], [], []
+        sig, d, left, more = [], [], [], [np.zeros((0, 2), np.int64)]
         for _, kind, x, y in _table_rows(t):
             if kind == SIGN:
                 sig.append(np.frombuffer(x, np.uint32))
                 d.append(np.frombuffer(y, np.int64))
+            elif kind == MORE:
+                more.append(np.stack((np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)), 1))
             else:
                 left.append(np.frombuffer(x, np.int64))
         other = []
@@ -413,7 +418,8 @@ def meet_deletions(pairs: int):
                     x, y = np.nonzero(of[ask][:, None] != of[offer][None, :])
                     other.append((run[ask[x]] & ~1, run[offer[y]]))
         gone = np.unique(np.concatenate(left)) if left else np.zeros(0, np.int64)
-        return _found([(LEFT, gone, gone, gone), *_counted(PAIR, other)])
+        more = np.concatenate(more)
+        return _found([(LEFT, gone, gone, gone), (SPARE, more[:, 0], more[:, 1], more[:, 1]), *_counted(PAIR, other)])
 
     return work
 
@@ -486,7 +492,6 @@ def rare_pairs(left: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame
 
     rows = written(sets.join(left, "dk").select("dk", "sh").mapInArrow(explode, "dk long, n long, e long"), "elements")
     often = written(rows.groupBy("e").agg(F.count("*").alias("f")), "often")
-    from pyspark.sql import Window
     rank = F.row_number().over(Window.partitionBy("dk").orderBy("f", "e"))
     prefix = (rows.join(often.filter("f > 1"), "e", "left").withColumn("f", F.coalesce("f", F.lit(1)))
               .withColumn("r", rank).filter("r <= n - ceil(0.8 * n) + 1 AND f > 1").select("dk", "e"))
@@ -502,6 +507,7 @@ def rare_pairs(left: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, group: int = GROUP, pairs: int = PAIRS) -> DataFrame:
     """docs (doc_id, text) -> doc_id, n_shingles, component_id, text_hash."""
+    ship_code(docs.sparkSession)
     members = written(described(docs, words), "members")
     real = members.filter("n > 0 AND doc_id IS NOT NULL")
     classes = written(real.groupBy("dk", "dr", "n").agg(F.min("doc_id").alias("rep")), "classes")
@@ -545,9 +551,16 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, group: int = GROUP,
         asking = (sets.join(shared, "dk").join(label, "dk", "left")
                   .select("dk", "sh", "shared", F.coalesce("c", "rep").alias("c")))
         near = written(deletion_rows(asking, buckets).groupBy("bucket").applyInArrow(meet_deletions(pairs), _OUT), "near")
-        more = near.filter(F.col("kind") == PAIR).select(F.shiftright("a", 1).alias("a"), F.shiftright("b", 1).alias("b")).distinct()
-        links = written(links.unionByName(verified(more, sets)), "links")
         left = written(near.filter(F.col("kind") == LEFT).select(F.col("a").alias("dk")).distinct(), "left")
+        # Answers that a settled class must get, and that an unsettled one may.
+        least = (near.filter(F.col("kind") == SPARE).groupBy(F.col("a").alias("dk")).agg(F.min("b").alias("must"))
+                 .join(left, "dk", "left_anti"))
+        one, two = (least.select(F.col("dk").alias(k), F.col("must").alias(f"must_{k}")) for k in "ab")
+        more = (near.filter(F.col("kind") == PAIR)
+                .groupBy(F.shiftright("a", 1).alias("a"), F.shiftright("b", 1).alias("b")).agg(F.sum("c").alias("c"))
+                .join(one, "a", "left").join(two, "b", "left")
+                .filter(F.col("c") >= F.coalesce("must_a", F.lit(0)) + F.coalesce("must_b", F.lit(0))).select("a", "b"))
+        links = written(links.unionByName(verified(more, sets)), "links")
         if not left.isEmpty():
             links = links.unionByName(written(verified(rare_pairs(left, sets, _labels(links, sets)), sets), "links"))
 
