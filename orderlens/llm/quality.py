@@ -168,7 +168,11 @@ def accepted(docs: DataFrame) -> DataFrame:
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("string").alias("text"),
                        F.col("lang").cast("string").alias("lang"))
     refs = written(references(histograms(rows)), "references")
-    return judged(base_features(histograms(rows)), refs).filter("kept").select("row.*")
+    verdicts = judged(base_features(histograms(rows)), refs)
+    # A filter would be pushed down, and with it all that the verdict is made
+    # of would be computed again for each use; a generator is not.
+    return (verdicts.select(F.explode(F.when(F.col("kept"), F.array("row")).otherwise(F.array().cast(
+        verdicts.select(F.array("row")).schema[0].dataType))).alias("row")).select("row.*"))
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
