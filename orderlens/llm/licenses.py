@@ -3,7 +3,10 @@
 A file's statement of licence is the line closest to a template by TF-IDF
 cosine, among the lines that name a licence at all (``ANCHORS``). The weights
 of words come from all files: ln((1 + files) / (1 + files with the word)) + 1;
-words that no template has weigh as much as a word of no file. A file is a
+words that no template has weigh as much as a word of no file. From
+``WEIGHT_FILES`` files on the counts are scaled down to that many, so that
+equal shares of files give equal weights, and equal scores, in a table of any
+size. A file is a
 licence file if its name says so, or if all its lines with a word are
 statements of one licence. A file without a statement inherits the licence of
 the licence file in the nearest directory above it (its own directory first),
@@ -26,7 +29,9 @@ from pyspark.sql import functions as F
 from orderlens.llm.shared import table, written
 
 MIN_COSINE = 0.7
-# Short statements of common licences, and what each names.
+WEIGHT_FILES = 10_000
+# Short statements of common licences, and what each names (up
+# to a slash: further statements of the same licence).
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without modification, are permitted under the BSD 3-Clause License.",
@@ -37,6 +42,7 @@ TEMPLATES = {
     "MIT": "Released under the MIT License.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "Proprietary": "Copyright. All rights reserved.",
+    "Proprietary/short": "All rights reserved.",
 }
 ANCHORS = "(?i)licen[cs]|copyright|public domain|rights reserved"
 LICENSE_NAMES = r"(?i)(^|/)(licen[cs]e|copying|unlicense|notice)([.-][^/]*)?$"
@@ -60,11 +66,12 @@ def term_weights(files: DataFrame, templates: DataFrame) -> DataFrame:
     with_term = (files.join(F.broadcast(listed)).select(F.explode(F.array_intersect(
         F.array_distinct(_terms(F.coalesce("text", F.lit("")))), "vocabulary")).alias("term"))
         .groupBy("term").agg(F.count("*").alias("df")))
-    total = files.agg(F.count("*").alias("n"))
+    total = files.agg(F.count("*").alias("n")).withColumn("m", F.least("n", F.lit(WEIGHT_FILES)))
+    scaled = F.coalesce(F.try_divide(F.coalesce("df", F.lit(0)) * F.col("m"), F.col("n")), F.lit(0.0))
     known = (vocabulary.join(F.broadcast(with_term), "term", "left").join(F.broadcast(total))
-             .select("term", (F.log((1 + F.col("n")) / (1 + F.coalesce("df", F.lit(0)))) + 1).alias("w")))
+             .select("term", (F.log((1 + F.col("m")) / (1 + scaled)) + 1).alias("w")))
     return (known.agg(F.map_from_entries(F.collect_list(F.struct("term", "w"))).alias("weights"))
-            .join(F.broadcast(total)).withColumn("other", F.log(1.0 + F.col("n")) + 1).drop("n"))
+            .join(F.broadcast(total)).withColumn("other", F.log(1.0 + F.col("m")) + 1).drop("n", "m"))
 
 
 _VECTOR = ("transform(array_distinct({t}), x -> named_struct('t', x, 'w', "
@@ -97,8 +104,8 @@ def statements(files: DataFrame, templates: dict[str, str] | None = None, min_co
              .withColumn("top", F.expr("array_sort(best, (a, b) -> CASE WHEN a.score <> b.score THEN IF(a.score > b.score, -1, 1) "
                                        "WHEN a.nth <> b.nth THEN IF(a.nth > b.nth, -1, 1) ELSE 0 END)")))
     top = F.get("top", F.lit(0))
-    return found.select("id", "path", top["licence"].alias("licence"), top["score"].alias("score"),
-                        ((F.size("best") == F.col("n_lines")) & (F.size(F.array_distinct(F.transform("best", lambda b: b["licence"]))) == 1)
+    return found.select("id", "path", F.substring_index(top["licence"], "/", 1).alias("licence"), top["score"].alias("score"),
+                        ((F.size("best") == F.col("n_lines")) & (F.size(F.array_distinct(F.transform("best", lambda b: F.substring_index(b["licence"], "/", 1)))) == 1)
                          ).alias("whole"))
 
 

@@ -67,6 +67,20 @@ def test_cosine_against_brute_force(spark):
             assert got[i].score is None
 
 
+def test_same_shares_score_the_same_in_tables_of_any_size(spark):
+    """66 of 10,000 files state it, and the words of the template are in no other."""
+    line, one = "All rights reserved.", {"Proprietary": "Copyright. All rights reserved."}
+    scores = set()
+    for n in (10_000, 20_000, 50_000):
+        files = spark.range(n).selectExpr("id", "concat('d/', id) AS path", f"IF(id % 10000 < 66, '{line}', concat('prose ', id)) AS text")
+        own = L.statements(files, one).filter("licence IS NOT NULL").groupBy("score").count().collect()
+        assert [r["count"] for r in own] == [n * 66 // 10_000]
+        scores |= {r.score for r in own}
+        stated = L.statements(files).filter("licence IS NOT NULL").groupBy("licence", "score").count().collect()
+        assert [tuple(r) for r in stated] == [("Proprietary", 1.0, n * 66 // 10_000)]
+    assert len(scores) == 1
+
+
 def test_whole_table(spark):
     """Every document is judged; those that end in a template's line state it."""
     d = "/root/testdata/sf0.001"
