@@ -1,5 +1,6 @@
 import math
 import re
+import textwrap
 
 from orderlens.llm import licenses as L
 
@@ -81,6 +82,27 @@ def test_same_shares_score_the_same_in_tables_of_any_size(spark):
     assert len(scores) == 1
 
 
+def test_header_blocks_and_licence_texts(spark):
+    """Templates wrapped as comments or as a file, single lines without a word of licence, and prose."""
+    def block(name, mark="# ", width=60):
+        return "\n".join(mark + x for x in textwrap.wrap(L.TEMPLATES[name], width))
+
+    code = "import os\nprint(os.name)\n"
+    headers = ["Apache-2.0/header", "GPL-3.0/header", "GPL-2.0/header", "LGPL-3.0/header", "AGPL-3.0/header", "MPL-2.0/header", "MIT/grant", "BSD-3-Clause/text", "BSD-2-Clause/text"]
+    lines = {"Redistribution and use in source and binary forms, with or without": "BSD-3-Clause", "MIT License": "MIT", "SPDX-License-Identifier: MIT": "MIT",
+             "This Source Code Form is subject to the terms of the Mozilla Public": "MPL-2.0", "// SPDX-License-Identifier: GPL-2.0-or-later": "GPL-2.0",
+             "GNU GENERAL PUBLIC LICENSE\nVersion 3, 29 June 2007": "GPL-3.0"}
+    prose = [(1000 + i, f"p/{i}", f"the words of a text with use and code number {i} in it\nand of others") for i in range(300)]
+    texts = [(h.split("/")[0], f"{code}\n{block(h, mark)}\n\n{code}") for h in headers for mark in ("# ", " * ")]
+    texts += [(v, f"{code}{k}\n{code}") for k, v in lines.items()]
+    got = scan(spark, [*prose, *((i, f"c{i}/x", t) for i, (_, t) in enumerate(texts)),
+                       (900, "w/a.txt", "Copyright (c) 2020 A. Person\n\n" + block("MIT/text", "", 75)), (901, "w/b", code), (902, "v/a.txt", code + block("MPL-2.0/header")), (903, "v/b", code)])
+    assert [got[i].licence for i in range(len(texts))] == [x for x, _ in texts]
+    assert (got[900].licence, got[901].licence, got[901].origin) == ("MIT", "MIT", "inherited")
+    assert (got[902].licence, got[903].licence) == ("MPL-2.0", None)
+    assert all(got[i].licence is None for i, *_ in prose)
+
+
 def test_whole_table(spark):
     """Every document is judged; those that end in a template's line state it."""
     d = "/root/testdata/sf0.001"
