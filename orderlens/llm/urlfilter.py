@@ -4,8 +4,10 @@ A rule is a host (or a suffix of it) and the start of a path, with a verdict;
 the rule with the longest host and path wins. URLs that no rule fits are
 judged by gradient-boosted trees on lexical features (length, depth, digit
 ratio, entropy, parameters, host labels, and how often URLs of the same host
-suffix were allowed), trained from the URLs that a rule has labelled:
-``MAX_TRAINING`` of them at most, drawn by the hash of the URL.
+suffix were allowed). The rates of the suffixes come from all URLs that a rule
+has labelled; the trees are trained from ``MAX_TRAINING`` distinct ones of
+them at most, half of each verdict, drawn by the hash of the URL and weighted
+by the share of the verdict among all labelled URLs.
 
 Edge cases: a null url, or one without ``://``, has an empty host and path,
 fits no rule and is judged by the trees like any other; without labelled URLs
@@ -82,24 +84,30 @@ def url_verdicts(pages: DataFrame, rules=RULES, max_training: int = MAX_TRAINING
     """pages (page_id, url) -> page_id, host, path, rule, verdict, score."""
     rows = lexical(ruled(parsed(pages.select("page_id", "url")), rules))
     labelled = rows.filter("rule_verdict IS NOT NULL").withColumn("label", (F.col("rule_verdict") == "allow").cast("double"))
-    sample = written(labelled.orderBy(F.xxhash64("_url"), "_url").limit(max_training)
-                     .select("label", "suffix", *[f for f in FEATURES if f != "f_suffix"]), "labelled")
-    label = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    # Suffixes: those of the sample, max_training rows at most. The rate is
-    # drawn to the overall one by ten further URLs.
-    overall = label.get(1.0, 0) / max(1, sum(label.values()))
-    rates = (sample.groupBy("suffix").agg(((F.sum("label") + 10 * overall) / (F.count("*") + 10)).alias("f_suffix")))
+    # The rate is drawn to the overall one by ten further URLs.
+    counts = written(labelled.groupBy("suffix").agg(F.sum("label").alias("allowed"), F.count("*").alias("n")), "suffixes")
+    allowed, n = counts.agg(F.coalesce(F.sum("allowed"), F.lit(0.0)), F.coalesce(F.sum("n"), F.lit(0))).first()
+    label = {k: v for k, v in ((1.0, allowed), (0.0, n - allowed)) if v}
+    overall = allowed / max(1, n)
+    rates = counts.select("suffix", ((F.col("allowed") + 10 * overall) / (F.col("n") + 10)).alias("f_suffix"))
 
     def with_rate(df: DataFrame) -> DataFrame:
-        return df.join(F.broadcast(rates), "suffix", "left").withColumn("f_suffix", F.coalesce("f_suffix", F.lit(overall)))
+        return df.join(rates, "suffix", "left").withColumn("f_suffix", F.coalesce("f_suffix", F.lit(overall)))
 
     if len(label) < 2:
         score = F.lit(1.0 if label.get(0.0, 0) == 0 else 0.0)
         judged = rows.withColumn("score", score)
     else:
         assemble = VectorAssembler(inputCols=FEATURES, outputCol="features")
-        training = assemble.transform(with_rate(sample)).select("label", "features")
-        model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, stepSize=0.3).fit(training)
+        columns = ["label", "suffix", *[f for f in FEATURES if f != "f_suffix"]]
+        some = labelled.select("_url", *columns).dropDuplicates(["_url"])
+        half = max(1, max_training // 2)
+        drawn = [some.filter(F.col("label") == k).orderBy(F.xxhash64("_url"), "_url").limit(half) for k in (0.0, 1.0)]
+        sample = written(drawn[0].unionByName(drawn[1]).select(*columns), "labelled")
+        sizes = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
+        weight = F.when(F.col("label") == 1.0, label[1.0] / sizes[1.0]).otherwise(label[0.0] / sizes[0.0]) * (sum(sizes.values()) / n)
+        training = assemble.transform(with_rate(sample)).select("label", "features", weight.alias("weight"))
+        model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=7, stepSize=0.3, weightCol="weight").fit(training)
         from pyspark.ml.functions import vector_to_array
         judged = (model.transform(assemble.transform(with_rate(rows)))
                   .withColumn("score", F.get(vector_to_array("probability"), F.lit(1))))

@@ -67,6 +67,22 @@ def test_bounded_sample_gives_all_verdicts(spark):
     assert U.url_verdicts(df, max_training=20).count() == 80
 
 
+def test_a_hot_url_does_not_fill_the_sample(spark):
+    """One URL in thousands of rows: both verdicts are still learnt, and all suffixes have rates."""
+    rules = [("block", "spam.test", "/"), ("allow", "good.test", "/")]
+    for hot in ("http://hot.good.test/about", "http://hot.spam.test/7/7?id=7&p=1&q=9"):
+        urls = [hot] * 3000
+        for i in range(120):
+            bad = i % 2 == 0
+            host = ["spam.test", "good.test"][i % 2] if i < 80 else "other.test"
+            urls.append(f"http://x{i}.{host}/" + (f"{i * 7919 % 99991}/{i * 31}?id={i}&p={i * 3}&q=9" if bad else f"about/us-{'abc'[i % 3]}"))
+        df = spark.createDataFrame([(i, u, *["c"] * 4) for i, u in enumerate(urls)], SCHEMA)
+        # A sample of 40 rows by hash would hold the hot URL only, or few others.
+        got = U.url_verdicts(df, rules, max_training=40).filter("rule IS NULL").collect()
+        assert len(got) == 40 and len({r.verdict for r in got}) == 2
+        assert sum((r.verdict == "block") == (r.page_id % 2 == 0) for r in got) >= 36
+
+
 def test_whole_table(spark):
     d = "/root/testdata/sf0.001"
     rows = spark.read.parquet(f"{d}/pages.parquet").select("page_id", "url").collect()
