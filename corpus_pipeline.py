@@ -4,7 +4,8 @@ Every stage is a function (spark, docs, sf_dir) -> DataFrame; its result is
 written and read back as the next stage's docs. All stages but the last return
 the columns of documents.
 
-1. quality_rules: documents that the rules reject go.
+1. quality_rules: documents that the rules reject go; without a reference of
+   their own language the base rules alone decide.
 2. line_dedup: later copies of runs of lines go, and documents of which
    nothing is left.
 3. near_duplicates: of each group of near duplicates the smallest id stays.
@@ -28,7 +29,7 @@ WORD = r"[^\x20\x09-\x0D]"
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return accepted(docs)
+    return accepted(docs, own_only=True)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,7 +10,11 @@ characters on, common words only from ``MIN_JUDGED_WORDS`` words on.
 
 Languages with a thousandth of the documents or more have a reference of
 their own, hence a thousand rows at most are broadcast; other documents, and
-those without a language, are compared with the sum over all.
+those without a language, are compared with the sum over all, as in OP6_SQL.
+The pipeline (``accepted`` with ``own_only``) does not do that: there a
+language with ``MIN_REFERENCE`` documents or more has a reference too, joined
+without a forced broadcast, and documents without a reference of their own are
+judged by the base rules only.
 
 Edge cases: a null or empty text has no words, all counts 0, and fails the
 base rules; texts of any length are judged whole; repeated rows are judged
@@ -33,6 +37,7 @@ MAX_CHAR_DISTANCE = 0.3
 MAX_WORD_DISTANCE = 0.2          # plus WORD_NOISE / sqrt(words): a short text's counts scatter
 WORD_NOISE = 0.5
 REFERENCE_SHARE = 1000
+MIN_REFERENCE = 100
 
 # Common words of four languages.
 COMMON_WORDS = {
@@ -109,9 +114,10 @@ def base_features(out: DataFrame) -> DataFrame:
             .drop("_lines", "windows"))
 
 
-def references(features: DataFrame) -> DataFrame:
+def references(features: DataFrame, own_only: bool = False) -> DataFrame:
     """Histograms of each language with a thousandth of the documents or
-    more, and of all documents (lang null): 1001 rows at most."""
+    more, and of all documents (lang null): 1001 rows at most. With own_only
+    those of languages with MIN_REFERENCE documents too, and none of all."""
     size = len(next(iter(COMMON_WORDS.values()))) + 1
     sums = (features.withColumn("judged", F.col("n_words") >= MIN_WORDS)
             .groupBy("lang", F.size("common").alias("k"))
@@ -121,7 +127,9 @@ def references(features: DataFrame) -> DataFrame:
     both = sums.withColumn("ref_lang", F.explode(F.array_distinct(F.array(F.col("lang"), F.lit(None).cast("string")))))
     total = both.groupBy("ref_lang").agg(F.sum("n").alias("n"), F.max("k").alias("k"), *[F.sum(c).alias(c) for c in columns])
     everything = total.filter("ref_lang IS NULL").select(F.col("n").alias("all_n"))
-    kept = (total.join(F.broadcast(everything)).filter(F.col("ref_lang").isNull() | (F.col("n") * REFERENCE_SHARE >= F.col("all_n"))))
+    often = F.col("n") * REFERENCE_SHARE >= F.col("all_n")
+    kept = total.join(F.broadcast(everything)).filter(
+        F.col("ref_lang").isNotNull() & (often | (F.col("n") >= MIN_REFERENCE)) if own_only else F.col("ref_lang").isNull() | often)
     return kept.select("ref_lang", F.array(*[f"classes_{i}" for i in range(len(_CLASSES))]).alias("ref_classes"),
                        F.slice(F.array(*[f"common_{i}" for i in range(size)]), F.lit(1), F.col("k")).alias("ref_common"))
 
@@ -136,11 +144,12 @@ def distance(p: str, q: str) -> Column:
           CASE WHEN b > 0 THEN b / s.q * log2(2 * (b / s.q) / (a / s.p + b / s.q)) / 2 ELSE 0D END), 0D, (a, x) -> a + x))) END)[0]""")
 
 
-def judged(features: DataFrame, refs: DataFrame) -> DataFrame:
+def judged(features: DataFrame, refs: DataFrame, own_only: bool = False) -> DataFrame:
     """Add char_distance, word_distance and kept."""
     own = refs.filter("ref_lang IS NOT NULL").select("ref_lang", F.col("ref_classes").alias("own_classes"), F.col("ref_common").alias("own_common"))
     all_ = refs.filter("ref_lang IS NULL").select("ref_classes")
-    out = (features.join(F.broadcast(own), features["lang"] == own["ref_lang"], "left").join(F.broadcast(all_), how="left")
+    # With own_only there are as many references as languages, not 1001.
+    out = (features.join(own if own_only else F.broadcast(own), features["lang"] == own["ref_lang"], "left").join(F.broadcast(all_), how="left")
            .withColumn("_classes", F.coalesce("own_classes", "ref_classes"))
            .withColumn("char_distance", F.when(F.col("word_chars") >= MIN_CHARS, distance("classes", "_classes")))
            .withColumn("word_distance", F.when((F.col("n_words") >= MIN_JUDGED_WORDS) & (F.size("common") > 1),
@@ -161,14 +170,14 @@ def quality_report(docs: DataFrame) -> DataFrame:
     return judged(features, references(features)).select(*REPORT, "char_distance", "word_distance")
 
 
-def accepted(docs: DataFrame) -> DataFrame:
+def accepted(docs: DataFrame, own_only: bool = False) -> DataFrame:
     """The rows of docs that are kept, with their own columns. The references
     come from a first pass; the verdict is made beside the text, without a
     join by id."""
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("string").alias("text"),
                        F.col("lang").cast("string").alias("lang"))
-    refs = written(references(histograms(rows)), "references")
-    verdicts = judged(base_features(histograms(rows)), refs)
+    refs = written(references(histograms(rows), own_only), "references")
+    verdicts = judged(base_features(histograms(rows)), refs, own_only)
     # A filter would be pushed down, and with it all that the verdict is made
     # of would be computed again for each use; a generator is not.
     return (verdicts.select(F.explode(F.when(F.col("kept"), F.array("row")).otherwise(F.array().cast(

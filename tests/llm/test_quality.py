@@ -88,6 +88,20 @@ def test_edges(spark):
                   (10, "a b c a b c d", "en"), (11, "x y z\u00a0w " * 70, "de"), (12, "same\nsame\n\n \nsame", "en"), (13, " ".join(f"q{i}" for i in range(30_000)), "en")])
 
 
+def test_pipeline_keeps_clean_documents_of_rare_languages(spark):
+    import corpus_pipeline
+    english = "The end of a long day is the start of another, and it was good. " * 3 + " ".join(f"word{i} of" for i in range(60))
+    russian = " ".join(f"слово{'абвгде'[i % 6]}{'жзиклмн'[i % 7]}" + "опрст"[i % 5] * (1 + i // 42) for i in range(120))
+    junk = " ".join(f"%{i}%#" * 2 for i in range(120))
+    rows = [(i, english, "en") for i in range(3000)] + [(5000, russian, "ru"), (5001, russian, None)]
+    rows += [(6000 + i, russian, "bg") for i in range(Q.MIN_REFERENCE + 2)] + [(9000, junk, "en"), (9001, "short", "ru")]
+    # Beside them so much English that bg has under a thousandth.
+    docs = spark.createDataFrame([(*r, "x", "y", "z") for r in rows], SCHEMA)
+    many = spark.range(10_000, 120_000).selectExpr("id AS doc_id", "'few words' AS text", "'en' AS lang", "'x' AS kept", "'y' AS n_words", "'z' AS row")
+    kept = {r.doc_id for r in corpus_pipeline.quality_rules(spark, docs.unionByName(many), "").select("doc_id").collect()}
+    assert kept == {r[0] for r in rows if r[0] < 9000}
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert Q.quality_report(df).count() == 0 and Q.accepted(df).count() == 0
