@@ -2,7 +2,7 @@
 
 The patterns are assignments of a secret to a name, access keys and long hex
 strings. Beside them, long tokens whose alphabet is that of an encoding (hex,
-base32, base64) are tested for randomness: chi-squared uniformity of the
+base32, base36, base64, UUID) are tested for randomness: chi-squared uniformity of the
 alphabet, a runs test around the alphabet's middle and lag-1 serial
 correlation; the smallest of the three, times three, is the token's p-value
 under "these are random symbols". Tokens of equal encoding and similar length
@@ -43,12 +43,15 @@ KINDS = ("assign", "access", "hex", "random")
 
 TOKEN = re.compile(r"[A-Za-z0-9+/_-]{24,}")
 _BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
-_VALUES = {"hex": np.full(128, -1), "base32": np.full(128, -1), "base64": np.full(128, -1)}
+_VALUES = {"hex": np.full(128, -1), "base32": np.full(128, -1), "base36": np.full(128, -1), "base64": np.full(128, -1)}
 for _name, _letters in (("hex", "0123456789abcdef"), ("hex", "0123456789ABCDEF"),
-                        ("base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), ("base64", _BASE64), ("base64", _BASE64[:-2] + "-_")):
+                        ("base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"), ("base32", "abcdefghijklmnopqrstuvwxyz234567"),
+                        ("base36", "0123456789abcdefghijklmnopqrstuvwxyz"), ("base36", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"), ("base64", _BASE64), ("base64", _BASE64[:-2] + "-_")):
     for _i, _c in enumerate(_letters):
         _VALUES[_name][ord(_c)] = _i
-_SIZE = {"hex": 16, "base32": 32, "base64": 64}
+_VALUES["uuid"] = _VALUES["hex"]
+_SIZE = {"hex": 16, "uuid": 16, "base32": 32, "base36": 36, "base64": 64}
+UUID = re.compile("[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 ALPHA = 0.05
 BANDS = 2
 GRID = 8
@@ -60,8 +63,12 @@ def encoding(token: str) -> str | None:
     lower, upper, digit = (bool(re.search(p, token)) for p in ("[a-z]", "[A-Z]", "[0-9]"))
     if re.fullmatch("[0-9a-f]+|[0-9A-F]+", token):
         return "hex" if digit and (lower or upper) and len(token) >= 32 else None
-    if re.fullmatch("[A-Z2-7]+", token):
+    if UUID.fullmatch(token):
+        return "uuid"
+    if re.fullmatch("[A-Z2-7]+|[a-z2-7]+", token):
         return "base32" if digit else None
+    if re.fullmatch("[A-Z0-9]+|[a-z0-9]+", token):
+        return "base36" if digit and (lower or upper) else None
     return "base64" if lower and upper and digit else None
 
 
@@ -72,6 +79,9 @@ def _two_sided(z: float) -> float:
 def p_value(token: str, kind: str) -> float:
     """Chi-squared, runs and serial correlation, the smallest times three."""
     size = _SIZE[kind]
+    if kind == "uuid":          # without the digits of version and variant
+        token = token.replace("-", "")
+        token = token[:12] + token[13:16] + token[17:]
     v = _VALUES[kind][np.frombuffer(token.encode(), np.uint8)]
     n = len(v)
     chi = size / n * float((np.bincount(v, minlength=size).astype(float) ** 2).sum()) - n
@@ -141,7 +151,7 @@ def spans(text: str, limits: dict[str, int]) -> list[tuple[str, int, int]]:
 
 
 def random_limits(docs: DataFrame) -> dict[str, int]:
-    """The step-up's limits from all texts. Families are few (three encodings
+    """The step-up's limits from all texts. Families are few (five encodings
     and two for each doubling of the length) and so are levels: the counts
     that reach the driver are bounded."""
     def count(batches):

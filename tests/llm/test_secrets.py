@@ -2,6 +2,7 @@ import base64
 import hashlib
 import random
 import re
+import uuid
 
 from orderlens.llm import secretscan as S
 
@@ -65,6 +66,21 @@ def test_random_tokens_are_found_and_patterned_ones_are_not(spark):
             assert "random" not in by[i], t
 
 
+def test_keys_of_lower_or_upper_case_and_uuids(spark):
+    rng = random.Random(9)
+    draw = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    low, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    keys = [(draw(low + digits, 32), "base36") for _ in range(30)] + [(draw(low.upper() + digits, 32), "base36") for _ in range(30)]
+    keys += [(base64.b32encode(rng.randbytes(25)).decode().lower(), "base32") for _ in range(30)] + [(str(uuid.UUID(bytes=rng.randbytes(16), version=4)), "uuid") for _ in range(30)]
+    keys = [(k, kind) for k, kind in keys if S.encoding(k)]
+    assert len(keys) >= 118 and sum(S.encoding(k) == kind for k, kind in keys) >= 110
+    patterned = ["xyz109" * 6, "XYZ90" * 7, "11111111-1111-1111-1111-111111111111", "a1" + "z" * 40, "thequickbrownfoxjumpsoverthelazydog"]
+    rows = [(i, f"here {k} there", "", 0, "") for i, k in enumerate([k for k, _ in keys] + patterned)]
+    found = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in S.secret_spans(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert sum(found[i] == [("random", 5, 5 + len(k))] for i, (k, _) in enumerate(keys)) >= 0.9 * len(keys)
+    assert not any(found[len(keys) + i] for i in range(len(patterned)))
+
+
 def test_step_up_against_the_definition():
     rng = random.Random(2)
     for _ in range(50):
