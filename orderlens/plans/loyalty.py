@@ -11,12 +11,12 @@ gathered per customer is bounded by the number of distinct items.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions.agg import collect_counted, concat_distinct, expand_counted
 from orderlens.functions.time import weekday_name
-from orderlens.operators.ranking import keep_rank_one, top_one
+from orderlens.operators.ranking import dense_rank_keys, keep_rank_one, rank_one, top_one
 
 C, D, P, N, PRICE, J = "customer_id", "order_date", "product_id", "product_name", "price", "join_date"
 
@@ -41,7 +41,7 @@ def visit_days(sales: DataFrame) -> DataFrame:
 
 def first_items(sales: DataFrame, menu: DataFrame) -> DataFrame:
     """Q3: distinct names of everything bought on each customer's first date."""
-    firsts = keep_rank_one(_named(sales, menu).select(C, D, N), [C], D)
+    firsts = rank_one(_named(sales, menu).select(C, D, N), [C], D)
     return firsts.groupBy(C).agg(concat_distinct(N).alias("first_item"))
 
 
@@ -54,7 +54,7 @@ def top_item(sales: DataFrame, menu: DataFrame) -> DataFrame:
 def favourite_items(sales: DataFrame, menu: DataFrame) -> DataFrame:
     """Q5: per customer, every item tied at the highest purchase count."""
     counts = _named(sales, menu).groupBy(C, N).agg(F.count(N).alias("count_item"))
-    best = keep_rank_one(counts, [C], "count_item", descending=True)
+    best = rank_one(counts, [C], "count_item", descending=True)
     return best.groupBy(C).agg(concat_distinct(N).alias("most_popular_item"))
 
 
@@ -68,7 +68,8 @@ def last_before_join_counts(sales: DataFrame, menu: DataFrame, members: DataFram
     """Q7 as rows: items bought on the last date strictly before joining, and
     how often."""
     j = _member_sales(sales, menu, members).filter(F.col(D) < F.col(J)).select(C, D, N)
-    return keep_rank_one(j, [C], D, descending=True).groupBy(C, N).agg(F.count(F.lit(1)).alias("times"))
+    # The tied rows are of one date, so they are distinct in (customer, name).
+    return rank_one(j, [C], D, descending=True).select(C, N, "times")
 
 
 def last_before_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
@@ -145,8 +146,8 @@ def rank_all(sales: DataFrame, menu: DataFrame, members: DataFrame, sort: bool =
 
     The ranks are computed over the distinct (customer, date) keys of members'
     sales from their join date on (a customer's rows collapse to its dates
-    before the window) and joined back on (customer, date), so no customer's
-    rows are sorted in one task. The rules for customers that are no members
+    before they are numbered) and joined back on (customer, date); a customer's
+    dates are numbered over range partitions. The rules for customers that are no members
     play no part in them.
     """
     # Rows whose flag is NULL (member with a NULL join date) are in neither
@@ -154,7 +155,7 @@ def rank_all(sales: DataFrame, menu: DataFrame, members: DataFrame, sort: bool =
     rows = join_all(sales, menu, members, sort=False).filter(F.col("member").isNotNull())
     keys = (sales.join(members, C).filter(F.col(D) >= F.col(J)).join(menu.select(P), P, "left_semi")
             .select(C, D).distinct())
-    ranks = keys.withColumn("_rank", F.dense_rank().over(Window.partitionBy(C).orderBy(F.col(D).asc())))
+    ranks = dense_rank_keys(keys, [C], D, rank="_rank")
     out = rows.join(ranks, [C, D], "left").select(
         C, D, N, PRICE, "member",
         F.when(F.col("member") == "Y", F.col("_rank").cast("string")).otherwise(F.lit("null")).alias("ranking"))
