@@ -28,7 +28,7 @@ RATINGS_SCHEMA = StructType([
 RUNNER_PAY_PER_DISTANCE = Decimal("0.3")
 
 
-def _price_of(name: Column, prices: dict[str, int]) -> Column:
+def price_of(name: Column, prices: dict[str, int]) -> Column:
     expr = None
     for product, price in prices.items():
         expr = (F.when(name == product, F.lit(price)) if expr is None
@@ -45,7 +45,7 @@ def _revenue(customer_orders: DataFrame, pizza_names: DataFrame, runner_orders:
     product id, which few lines have, and delivered rows counted per order.
     """
     priced = (pizza_names.filter(F.col("pizza_name").isin(list(prices)))
-              .groupBy("pizza_id").agg(F.sum(_price_of(F.col("pizza_name"), prices)).alias("_price")))
+              .groupBy("pizza_id").agg(F.sum(price_of(F.col("pizza_name"), prices)).alias("_price")))
     runs = runner_orders.filter(delivered()).groupBy("order_id").agg(F.count(F.lit(1)).alias("_runs"))
     lines = customer_orders.select("order_id", "pizza_id").join(priced, "pizza_id").join(runs, "order_id")
     return lines.agg(F.coalesce(F.sum(F.col("_price") * F.col("_runs")), F.lit(0)).cast("bigint").alias("_revenue"))

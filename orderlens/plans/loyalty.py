@@ -13,12 +13,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, IntegerType, LongType, StructField, StructType
 
 from orderlens.functions.agg import collect_counted, concat_distinct, expand_counted
 from orderlens.functions.time import weekday_name
-from orderlens.operators.ranking import dense_rank_keys, keep_rank_one, rank_one, top_one
+from orderlens.operators.chunks import CHUNK_CHARS, text_chunks
+from orderlens.operators.ranking import dense_rank_keys, dense_rank_rows, keep_rank_one, rank_one, top_one
+from orderlens.sources.sinks import save_table
 
 C, D, P, N, PRICE, J = "customer_id", "order_date", "product_id", "product_name", "price", "join_date"
+MONTH = "order_month"
+
+# Declared layout of sales stored by the month of their date.
+SALES_SCHEMA = StructType([StructField(C, LongType()), StructField(D, DateType()), StructField(P, LongType()),
+                           StructField(MONTH, IntegerType())])
 
 
 def _named(sales: DataFrame, menu: DataFrame) -> DataFrame:
@@ -79,6 +87,11 @@ def last_before_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> D
     return counted.groupBy(C).agg(expand_counted(collect_counted(N, "times")).alias("first_item_purchased"))
 
 
+def last_before_join_chunks(sales: DataFrame, menu: DataFrame, members: DataFrame, size: int = CHUNK_CHARS) -> DataFrame:
+    """Q7's text in numbered chunks of ``size`` characters, for lists of any length."""
+    return text_chunks(last_before_join_counts(sales, menu, members), [C], N, "times", size=size)
+
+
 def totals_before_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
     """Q8: distinct items and amount spent before joining."""
     j = _member_sales(sales, menu, members).filter(F.col(D) < F.col(J))
@@ -113,7 +126,9 @@ def points_promo_window(sales: DataFrame, menu: DataFrame, members: DataFrame, p
     pts = (F.when(d < jd, price * rate)
            .when(d.between(jd, end), price * promo_rate)
            .when(d > end, price * rate))
-    j = _member_sales(sales, menu, members).filter(F.month(d) == month)
+    # Sales stored by month (``sales_by_month``) are read for that month only.
+    in_month = F.col(MONTH) == month if MONTH in sales.columns else F.month(d) == month
+    j = _member_sales(sales.filter(in_month), menu, members)
     return j.groupBy(C).agg(F.sum(pts).alias("points")).orderBy(C)
 
 
@@ -162,6 +177,20 @@ def rank_all(sales: DataFrame, menu: DataFrame, members: DataFrame, sort: bool =
     return out.orderBy(C, D, N, PRICE) if sort else out
 
 
+def item_ranks(sales: DataFrame, menu: DataFrame) -> DataFrame:
+    """Every item of a customer with its dense rank by number bought (most
+    first) and by the date it was first bought. A customer's counts and dates
+    are numbered over range partitions."""
+    counts = _named(sales, menu).groupBy(C, N).agg(F.count(F.lit(1)).alias("times"), F.min(D).alias("first_date"))
+    return dense_rank_rows(dense_rank_rows(counts, [C], "times", descending=True, rank="rank_by_times"),
+                           [C], "first_date", rank="rank_by_date")
+
+
+def sales_by_month(sales: DataFrame, name: str, path: str) -> DataFrame:
+    """Sales as a catalog table with a folder per month of the order date."""
+    return save_table(sales.withColumn(MONTH, F.month(D)), name, SALES_SCHEMA, path, partition_by=[MONTH])
+
+
 def visit_calendar(sales: DataFrame) -> DataFrame:
     """Q13: each (date, customer) visit with its weekday name."""
     return (sales.select(D, C).distinct()
@@ -179,6 +208,12 @@ def tried_before_join_counts(sales: DataFrame, menu: DataFrame, members: DataFra
         F.count(F.lit(1)).alias("times"))
 
 
+def tried_before_join_chunks(sales: DataFrame, menu: DataFrame, members: DataFrame, size: int = CHUNK_CHARS) -> DataFrame:
+    """Q14's list of items in numbered chunks of ``size`` characters."""
+    items = tried_before_join_counts(sales, menu, members).filter(F.col("kind") == "item")
+    return text_chunks(items, [C], "value", "times", size=size)
+
+
 def tried_before_join(sales: DataFrame, menu: DataFrame, members: DataFrame) -> DataFrame:
     """Q14: items (with repeats, one cell holds them all) and number of visit
     days before joining.

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from orderlens.functions.time import weekday_name
 from orderlens.operators.calendar import weekday_list, zero_fill
+from orderlens.operators.prefix import global_row_number
 from orderlens.operators.ranking import top_one
 
 
@@ -36,6 +37,13 @@ def order_lines_total(customer_orders: DataFrame) -> DataFrame:
     return customer_orders.agg(F.count(F.lit(1)).alias("no_of_pizzas_ordered"))
 
 
+def order_lines_numbered(customer_orders: DataFrame) -> DataFrame:
+    """Every line with its number over the whole table, by order, product and
+    lists (the reference numbers lines to tell them apart)."""
+    c = customer_orders.select("order_id", "pizza_id", "exclusions", "extras")
+    return global_row_number(c, [F.col(k).asc_nulls_first() for k in c.columns], "line_no")
+
+
 def unique_customers(customer_orders: DataFrame) -> DataFrame:
     """Q16: number of distinct customers (the reference counts customers)."""
     return customer_orders.agg(F.count_distinct("customer_id").alias("no_of_unique_customer_orders"))

@@ -14,14 +14,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, TimestampNTZType, TimestampType
 
-from orderlens.plans import composition, delivery, finance, loyalty, orders
+from orderlens.plans import composition, delivery, finance, layouts, loyalty, orders, sketches, upkeep
 from orderlens.session import scratch_path
 from orderlens.sources import roles as R
 from orderlens.sources.roles import RoleTables
+from orderlens.sources.sinks import read_written, write_table
 
 # The product added by the menu-evolution question.
 NEW_PRODUCT_NAME = "Supreme"
 NEW_PRODUCT_TOPPINGS = "1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12"
+NEW_PRODUCT_PRICE = 9
+NEW_PRODUCT_EXTRAS = "1"
+# Characters of a text chunk; small, so that the test tables have several.
+CHUNK = 256
 
 
 def present(df: DataFrame) -> DataFrame:
@@ -41,6 +46,57 @@ def _q(build: Callable[[SparkSession, RoleTables], DataFrame]) -> Callable[[Spar
     return run
 
 
+def _written(s: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(s, name)
+    write_table(df, path, df.schema)
+    return read_written(s, path, df.schema)
+
+
+def _customers_by_month(s: SparkSession, t: RoleTables) -> DataFrame:
+    daily = _written(s, sketches.sketched(t.sales, ["order_date"], F.col("customer_id")), "daily")
+    found = sketches.customers_by_month(t.sales, daily)
+    return found.select("year", "month", "customers", (F.col("relative_error") <= sketches.ERROR_BOUND).alias("within_bound"))
+
+
+def _visit_days(s: SparkSession, t: RoleTables) -> DataFrame:
+    keys = ["customer_id", F.trunc("order_date", "month").alias("month")]
+    monthly = _written(s, sketches.sketched(t.sales, keys, F.unix_date("order_date")), "monthly")
+    found = sketches.visit_days(t.sales, monthly)
+    return found.select("customer_id", "Days_visited", (F.col("relative_error") <= sketches.ERROR_BOUND).alias("within_bound"))
+
+
+def _extended(s: SparkSession, t: RoleTables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Stored partials of all lines and, as a second batch, of a line of the
+    new product in every order; names and recipes with the new product."""
+    names, recipes = finance.add_product(t.pizza_names, t.pizza_recipes, NEW_PRODUCT_NAME, NEW_PRODUCT_TOPPINGS)
+    path = scratch_path(s, "partials")
+    product = t.pizza_names.agg((F.coalesce(F.max("pizza_id"), F.lit(0)) + 1).alias("pizza_id"))
+    upkeep.add_batch(path, 1, t.customer_orders, t.runner_orders)
+    upkeep.add_batch(path, 2, upkeep.one_line_each(t.customer_orders, product, NEW_PRODUCT_EXTRAS), t.runner_orders)
+    return upkeep.merged(s, path), names, recipes
+
+
+def _delivered_extended(s: SparkSession, t: RoleTables) -> DataFrame:
+    partials, names, _ = _extended(s, t)
+    return upkeep.delivered_by_product(partials, names)
+
+
+def _usage_extended(s: SparkSession, t: RoleTables) -> DataFrame:
+    partials, _, recipes = _extended(s, t)
+    return upkeep.ingredient_usage(partials, recipes, t.pizza_toppings)
+
+
+def _revenue_extended(s: SparkSession, t: RoleTables) -> DataFrame:
+    partials, names, _ = _extended(s, t)
+    return upkeep.revenue(partials, names, {**R.PRICED_PRODUCTS, NEW_PRODUCT_NAME: NEW_PRODUCT_PRICE})
+
+
+def _promo_by_month(s: SparkSession, t: RoleTables) -> DataFrame:
+    path = scratch_path(s, "sales_by_month")
+    sales = loyalty.sales_by_month(t.sales, layouts.catalog_name(path), path)
+    return loyalty.points_promo_window(sales, t.menu, t.members, R.PROMO_ITEM)
+
+
 _BUILDERS: dict[str, Callable[[SparkSession, RoleTables], DataFrame]] = {
     # loyalty (Q1-Q14)
     "spend_by_customer": lambda s, t: loyalty.spend_by_customer(t.sales, t.menu),
@@ -109,6 +165,20 @@ _BUILDERS: dict[str, Callable[[SparkSession, RoleTables], DataFrame]] = {
                                                     R.PRICED_PRODUCTS),
     "add_product": lambda s, t: finance.menu_after_new_product(
         t.pizza_names, t.pizza_recipes, t.pizza_toppings, NEW_PRODUCT_NAME, NEW_PRODUCT_TOPPINGS),
+    # the reports with the new product, from stored partials (Q43 in Q18, Q37, Q38)
+    "delivered_by_product_extended": _delivered_extended,
+    "ingredient_usage_extended": _usage_extended,
+    "revenue_extended": _revenue_extended,
+    # further forms: numbers, ranks, chunks, layouts, sketches
+    "order_lines_numbered": lambda s, t: orders.order_lines_numbered(t.customer_orders),
+    "item_ranks": lambda s, t: loyalty.item_ranks(t.sales, t.menu),
+    "last_before_join_chunks": lambda s, t: loyalty.last_before_join_chunks(t.sales, t.menu, t.members, CHUNK),
+    "tried_before_join_chunks": lambda s, t: loyalty.tried_before_join_chunks(t.sales, t.menu, t.members, CHUNK),
+    "points_promo_by_month": _promo_by_month,
+    "prep_time_bucketed": lambda s, t: layouts.prep_time_bucketed(s, t.customer_orders, t.runner_orders,
+                                                                  scratch_path(s, "bucketed")),
+    "customers_by_month_sketched": _customers_by_month,
+    "visit_days_sketched": _visit_days,
 }
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _q(v) for k, v in _BUILDERS.items()}

@@ -1,0 +1,135 @@
+"""Declared layouts, stored partials, text chunks and sketches."""
+
+import datetime as dt
+from decimal import Decimal
+
+import fixtures
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+from orderlens.operators.chunks import text_chunks
+from orderlens.operators.cleaning import clean_customer_orders, clean_runner_orders
+from orderlens.plans import composition, delivery, finance, layouts, loyalty, orders, sketches, upkeep
+from orderlens.sources.sinks import save_table
+
+
+@pytest.fixture
+def no_broadcasts(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield spark
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+@pytest.fixture
+def tables(spark):
+    t = fixtures.delivery(spark)
+    return {**t, "customer_orders": clean_customer_orders(t["customer_orders_raw"]), "runner_orders": clean_runner_orders(t["runner_orders_raw"])}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bucketed_tables_join_without_a_shuffle(no_broadcasts, tables, tmp_path):
+    got = layouts.prep_time_bucketed(no_broadcasts, tables["customer_orders"], tables["runner_orders"], str(tmp_path / "prep"))
+    plan = plan_of(got)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan and plan.count("Bucketed: true") == 2
+    assert rows(got) == rows(delivery.prep_time_by_order(tables["customer_orders"], tables["runner_orders"]))
+    described = {r["col_name"]: r["data_type"] for r in no_broadcasts.sql("DESCRIBE FORMATTED prep_lines").collect()}
+    assert described["Num Buckets"] == "4" and described["Bucket Columns"] == "[`order_id`]"
+
+
+def test_a_hot_bucket_is_written_by_several_tasks(spark, tmp_path):
+    schema = StructType([StructField("k", LongType()), StructField("v", StringType())])
+    old = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes",)}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        df = spark.range(60_000).repartition(8).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+        t = save_table(df, "hot_keys", schema, str(tmp_path / "hot"), bucket_by=["k"], buckets=4)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert t.count() == 60_000 and t.filter("k = 0").count() == 20_000
+    assert t.filter("k = 0").select(F.input_file_name()).distinct().count() > 1
+
+
+def test_save_table_checks(spark, tmp_path):
+    schema = StructType([StructField("k", LongType())])
+    with pytest.raises(ValueError, match="buckets"):
+        save_table(spark.range(1).withColumnRenamed("id", "k"), "t1", schema, str(tmp_path / "a"), bucket_by=["k"])
+    with pytest.raises(ValueError, match="mode"):
+        save_table(spark.range(1).withColumnRenamed("id", "k"), "t1", schema, str(tmp_path / "a"), mode="ignore")
+    with pytest.raises(ValueError, match="missing"):
+        save_table(spark.range(1), "t1", schema, str(tmp_path / "a"))
+
+
+def test_sales_by_month_read_one_month(spark, tmp_path):
+    sales = spark.createDataFrame([(1, dt.date(2021, m, d), 1 + d % 2) for m in (1, 2, 3) for d in range(1, 20)],
+                                  "customer_id long, order_date date, product_id long")
+    menu = spark.createDataFrame([(1, "sushi", Decimal("10.00")), (2, "curry", Decimal("15.00"))], "product_id long, product_name string, price decimal(10,2)")
+    members = spark.createDataFrame([(1, dt.date(2021, 1, 7))], "customer_id long, join_date date")
+    stored = loyalty.sales_by_month(sales, "sales_by_month_test", str(tmp_path / "s"))
+    got = loyalty.points_promo_window(stored, menu, members, "sushi")
+    assert "PartitionFilters: [isnotnull(order_month#" in plan_of(got) and "(order_month#" in plan_of(got)
+    assert rows(got) == rows(loyalty.points_promo_window(sales, menu, members, "sushi"))
+
+
+def test_upkeep_equals_a_full_run(spark, tables, tmp_path):
+    lines, runs, names = tables["customer_orders"], tables["runner_orders"], tables["pizza_names"]
+    path = str(tmp_path / "partials")
+    parts = [lines.filter(F.col("order_id") % 3 == k) for k in range(3)]
+    for k, part in enumerate(parts):
+        upkeep.add_batch(path, k, part, runs)
+    upkeep.add_batch(path, 1, parts[1], runs)            # again, as after a failure
+    all_names, all_recipes = finance.add_product(names, tables["pizza_recipes"], "Supreme", "1, 2, 3, 12")
+    product = spark.createDataFrame([(3,)], "pizza_id int")
+    new = upkeep.one_line_each(lines, product, "1")
+    upkeep.add_batch(path, 7, new, runs)
+    whole, got = lines.select(new.columns).unionByName(new), upkeep.merged(spark, path)
+    assert rows(upkeep.delivered_by_product(got, all_names)) == rows(orders.delivered_by_product(whole, runs, all_names))
+    assert (3, "Supreme") in rows(upkeep.delivered_by_product(got, all_names), "pizza_id", "pizza_name")
+    assert rows(upkeep.ingredient_usage(got, all_recipes, tables["pizza_toppings"])) == rows(
+        composition.ingredient_usage(whole, all_recipes, runs, tables["pizza_toppings"]))
+    prices = {"Harvest Bowl": 12, "Garden Wrap": 10, "Supreme": 9}
+    assert rows(upkeep.revenue(got, all_names, prices)) == rows(finance.revenue(whole, all_names, runs, prices))
+    assert "Supreme" in {r["pizza_name"] for r in composition.recipe_ingredients(all_recipes, tables["pizza_toppings"]).join(all_names, "pizza_id").collect()}
+
+
+@pytest.mark.parametrize("size", [2, 7, 64, 1 << 20])
+def test_chunks_join_to_the_text(spark, size):
+    counted = [("a", "x", 3), ("a", "üü", 2), ("a", None, 9), ("b", "", 4), ("b", "long name", 11), ("c", None, 1), (None, "n", 1)]
+    df = spark.createDataFrame(counted, "g string, v string, n long")
+    got = text_chunks(df, ["g"], "v", "n", size=size).collect()
+    for g in ("a", "b", None):
+        want = ",".join(v for k, v, n in sorted(counted, key=lambda r: str(r[1])) if k == g and v is not None for _ in range(n))
+        mine = sorted((r["chunk"], r["text"]) for r in got if r["g"] == g)
+        assert [c for c, _ in mine] == list(range(len(mine))) and "".join(t for _, t in mine) == want
+        assert all(len(t) == size for _, t in mine[1:-1])
+    assert {r["g"] for r in got} == {"a", "b", None}
+
+
+def test_chunks_of_a_long_list(spark):
+    """A value repeated three million times, in chunks of a megabyte."""
+    df = spark.createDataFrame([(1, "item", 3_000_000), (1, "other", 2)], "g long, v string, n long")
+    got = text_chunks(df, ["g"], "v", "n")
+    r = got.agg(F.count("*"), F.sum(F.length("text")), F.max(F.length("text"))).first()
+    assert tuple(r) == (15, 15_000_000 + 11, 1 << 20)
+    with pytest.raises(ValueError, match="separator"):
+        text_chunks(df, ["g"], "v", "n", size=1)
+    assert text_chunks(df.limit(0), ["g"], "v", "n").collect() == []
+
+
+def test_sketches_within_their_bound(spark):
+    sales = spark.range(200_000).select((F.col("id") * 7919 % 50_000).alias("customer_id"),
+                                        F.date_add(F.lit(dt.date(2021, 1, 1)), (F.col("id") % 59).cast("int")).alias("order_date"))
+    daily = sketches.sketched(sales, ["order_date"], F.col("customer_id"))
+    got = sketches.customers_by_month(sales, daily).collect()
+    assert len(got) == 2 and all(r["customers"] > 40_000 and 0 <= r["relative_error"] <= sketches.ERROR_BOUND for r in got)
+    # sketches of two parts, united, are the sketch of the whole
+    parts = sketches.sketched(sales.filter("customer_id < 100"), ["order_date"], F.col("customer_id")).unionByName(
+        sketches.sketched(sales.filter("customer_id >= 100"), ["order_date"], F.col("customer_id")))
+    one = sketches.distinct_from(parts, [], "n").first()["n"]
+    assert abs(one - 50_000) / 50_000 <= sketches.ERROR_BOUND
