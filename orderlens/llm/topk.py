@@ -38,6 +38,7 @@ GROUP_BLOCKS = 32
 CHUNK_QUERIES = 1024
 SCALE = 64
 _MAX = (1 << 63) - 1
+_COMPLEMENT = str.maketrans("0123456789", "9876543210")
 
 
 def quantised(vectors: list, scale: int) -> np.ndarray:
@@ -156,7 +157,24 @@ def best_of_cell(queries: tuple, blocks: list[tuple], k: int) -> tuple[np.ndarra
             scores[rows], ids[rows] = np.take_along_axis(s, order, 1), np.take_along_axis(c, order, 1)
     real = scores > none
     r, _ = np.nonzero(real)
-    return r, ids[real], np.array([max(-_MAX - 1, min(_MAX, x)) for x in scores[real]], np.int64) if kind is object else scores[real]
+    return r, ids[real], scores[real]
+
+
+def shown(scores: np.ndarray) -> tuple[np.ndarray, list[str | None]]:
+    """Scores clipped to 64 bits, and a text for those at or beyond the limits
+    whose descending order is theirs: cells are merged by both."""
+    if scores.dtype != object:
+        return scores.astype(np.int64), [None] * len(scores)
+    beyond: list[str | None] = []
+    for x in scores.tolist():
+        digits = str(abs(x))
+        if -_MAX - 1 < x < _MAX:
+            beyond.append(None)
+        elif x > 0:
+            beyond.append(f"{len(digits):06d}{digits}")
+        else:
+            beyond.append(f"{999999 - len(digits):06d}{digits.translate(_COMPLEMENT)}")
+    return np.array([max(-_MAX - 1, min(_MAX, x)) for x in scores.tolist()], np.int64), beyond
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = SCALE, id_col: str = "vec_id",
@@ -179,22 +197,24 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = SCAL
                    .withColumn("g", F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1)))))
 
     def cell(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = ([], [], [])
+        out, beyond = ([], [], []), []
         group = [(np.frombuffer(r["ids"], "<i8"), _unpack(r["weights"], r["n"]), _unpack(r["most"], 1), _unpack(r["least"], 1))
                  for r in right.to_pylist()]
         for r in left.to_pylist() if group else []:
             q_ids = np.frombuffer(r["ids"], "<i8")
             at, ids, scores = best_of_cell((q_ids, _unpack(r["weights"], r["n"])), group, k)
-            for column, value in zip(out, (q_ids[at], ids, scores)):
+            clipped, order = shown(scores)
+            beyond += order
+            for column, value in zip(out, (q_ids[at], ids, clipped)):
                 column.append(value)
-        return pa.table([pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for x in out],
-                        names=["query_id", "vec_id", "score"])
+        return pa.table([*[pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for x in out],
+                         pa.array(beyond, pa.string())], names=["query_id", "vec_id", "score", "beyond"])
 
     columns = ["ids", "weights", "n", "most", "least"]
     found = (chunk_cells.select(F.col("c").cast("long"), F.col("g").cast("long"), "ids", "weights", "n").groupBy("c", "g")
              .cogroup(block_cells.select(F.col("c").cast("long"), F.col("g").cast("long"), *columns).groupBy("c", "g"))
-             .applyInArrow(cell, "query_id long, vec_id long, score long"))
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+             .applyInArrow(cell, "query_id long, vec_id long, score long, beyond string"))
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc("beyond"), "vec_id"))
     return found.withColumn("rank", place).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
