@@ -163,7 +163,6 @@ TEMPLATES = {
     "AGPL-3.0/SPDX only": "SPDX-License-Identifier: AGPL-3.0-only",
     "AGPL-3.0/SPDX or-later": "SPDX-License-Identifier: AGPL-3.0-or-later",
 }
-ANCHORS = ""        # of the lines to compare: all
 LICENSE_NAMES = r"(?i)(^|/)(licen[cs]e|copying|unlicense|notice)([.-][^/]*)?$"
 
 
@@ -229,6 +228,16 @@ _COVERED = """
 forall(named, t -> t[0] = 'copyright' OR 2 * size(array_intersect(t, transform(best_model.v, x -> x.t))) >= size(array_distinct(t)))"""
 
 
+# Each line is a statement, and the best statements of all lines name one
+# licence: one pass over the lines' scores, best first.
+_SINGLE = """
+aggregate(array_sort(transform(filter(best, b -> b.n = -1), b -> named_struct('nth', b.nth, 'less', -b.score, 'name', substring_index(b.licence, '/', 1)))),
+  named_struct('nth', 1, 'less', 0D, 'name', CAST(NULL AS STRING), 'lines', 0, 'one', true),
+  (a, x) -> IF(x.nth = a.nth AND x.less > a.less, a, named_struct('nth', x.nth, 'less', x.less, 'name', x.name,
+    'lines', a.lines + IF(x.nth = a.nth, 0, 1), 'one', a.one AND (a.name IS NULL OR a.name = x.name))),
+  a -> a.one AND a.lines = n_lines)"""
+
+
 def statements(files: DataFrame, templates: dict[str, str] | None = None, min_cosine: float = MIN_COSINE) -> DataFrame:
     """files (id, path, text) -> id, path, licence, score, whole (it is a
     licence and nothing else)."""
@@ -256,12 +265,8 @@ def statements(files: DataFrame, templates: dict[str, str] | None = None, min_co
              .withColumn("entire", F.array_max(F.filter("best", lambda b: -b["n"] == F.col("n_lines"))))
              .withColumn("best_model", F.expr("get(near, entire.at)")))
     top, name = F.col("top"), lambda c: F.substring_index(c, "/", 1)
-    lines = F.expr("filter(best, b -> b.n = -1)")
-    single = ((F.size(F.array_distinct(F.transform(lines, lambda b: b["nth"]))) == F.col("n_lines"))
-              & (F.size(F.array_distinct(F.transform(F.filter(lines, lambda b: ~F.exists(lines, lambda o: (o["nth"] == b["nth"]) & (o["score"] > b["score"]))),
-                                                     lambda b: name(b["licence"])))) == 1))
     return found.select("id", "path", name(top["licence"]).alias("licence"), top["score"].alias("score"),
-                        F.coalesce((F.col("n_lines") > 0) & (single | F.expr(_COVERED)), F.lit(False)).alias("whole"))
+                        F.coalesce((F.col("n_lines") > 0) & (F.expr(_SINGLE) | F.expr(_COVERED)), F.lit(False)).alias("whole"))
 
 
 def _directory(path: Column) -> Column:
