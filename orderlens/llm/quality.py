@@ -8,13 +8,11 @@ words, too many repeated three-word windows) or lies too far from its
 language. Guards: characters are compared only from ``MIN_CHARS`` word
 characters on, common words only from ``MIN_JUDGED_WORDS`` words on.
 
-Languages with a thousandth of the documents or more have a reference of
-their own, hence a thousand rows at most are broadcast; other documents, and
-those without a language, are compared with the sum over all, as in OP6_SQL.
-The pipeline (``accepted`` with ``own_only``) does not do that: there a
-language with ``MIN_REFERENCE`` documents or more has a reference too, joined
-without a forced broadcast, and documents without a reference of their own are
-judged by the base rules only.
+Every language has a reference, summed over its documents however many they
+are, so that a document's verdict does not depend on the size of the table.
+Documents without a language, or in one without a document of ``MIN_WORDS``
+words, are judged by the base rules only. The references, a row per language,
+are joined as their size allows.
 
 Edge cases: a null or empty text has no words, all counts 0, and fails the
 base rules; texts of any length are judged whole; repeated rows are judged
@@ -36,8 +34,6 @@ MIN_JUDGED_WORDS = 100
 MAX_CHAR_DISTANCE = 0.3
 MAX_WORD_DISTANCE = 0.2          # plus WORD_NOISE / sqrt(words): a short text's counts scatter
 WORD_NOISE = 0.5
-REFERENCE_SHARE = 1000
-MIN_REFERENCE = 100
 
 # Common words of four languages.
 COMMON_WORDS = {
@@ -114,24 +110,16 @@ def base_features(out: DataFrame) -> DataFrame:
             .drop("_lines", "windows"))
 
 
-def references(features: DataFrame, own_only: bool = False) -> DataFrame:
-    """Histograms of each language with a thousandth of the documents or
-    more, and of all documents (lang null): 1001 rows at most. With own_only
-    those of languages with MIN_REFERENCE documents too, and none of all."""
+def references(features: DataFrame) -> DataFrame:
+    """Histograms of each language, summed over its documents of MIN_WORDS
+    words or more: as many rows as languages."""
     size = len(next(iter(COMMON_WORDS.values()))) + 1
-    sums = (features.withColumn("judged", F.col("n_words") >= MIN_WORDS)
-            .groupBy("lang", F.size("common").alias("k"))
-            .agg(F.count("*").alias("n"), *[F.sum(F.when(F.col("judged"), F.coalesce(F.get(F.col(c), F.lit(i)), F.lit(0).cast("long")))).alias(f"{c}_{i}")
-                                            for c, n in (("classes", len(_CLASSES)), ("common", size)) for i in range(n)]))
-    columns = [f"{c}_{i}" for c, n in (("classes", len(_CLASSES)), ("common", size)) for i in range(n)]
-    both = sums.withColumn("ref_lang", F.explode(F.array_distinct(F.array(F.col("lang"), F.lit(None).cast("string")))))
-    total = both.groupBy("ref_lang").agg(F.sum("n").alias("n"), F.max("k").alias("k"), *[F.sum(c).alias(c) for c in columns])
-    everything = total.filter("ref_lang IS NULL").select(F.col("n").alias("all_n"))
-    often = F.col("n") * REFERENCE_SHARE >= F.col("all_n")
-    kept = total.join(F.broadcast(everything)).filter(
-        F.col("ref_lang").isNotNull() & (often | (F.col("n") >= MIN_REFERENCE)) if own_only else F.col("ref_lang").isNull() | often)
-    return kept.select("ref_lang", F.array(*[f"classes_{i}" for i in range(len(_CLASSES))]).alias("ref_classes"),
-                       F.slice(F.array(*[f"common_{i}" for i in range(size)]), F.lit(1), F.col("k")).alias("ref_common"))
+    columns = [(f"{c}_{i}", F.coalesce(F.get(F.col(c), F.lit(i)), F.lit(0).cast("long")))
+               for c, n in (("classes", len(_CLASSES)), ("common", size)) for i in range(n)]
+    total = (features.filter((F.col("n_words") >= MIN_WORDS) & F.col("lang").isNotNull())
+             .groupBy(F.col("lang").alias("ref_lang"), F.size("common").alias("k")).agg(*[F.sum(v).alias(c) for c, v in columns]))
+    return total.select("ref_lang", F.array(*[f"classes_{i}" for i in range(len(_CLASSES))]).alias("ref_classes"),
+                        F.slice(F.array(*[f"common_{i}" for i in range(size)]), F.lit(1), F.col("k")).alias("ref_common"))
 
 
 def distance(p: str, q: str) -> Column:
@@ -144,16 +132,12 @@ def distance(p: str, q: str) -> Column:
           CASE WHEN b > 0 THEN b / s.q * log2(2 * (b / s.q) / (a / s.p + b / s.q)) / 2 ELSE 0D END), 0D, (a, x) -> a + x))) END)[0]""")
 
 
-def judged(features: DataFrame, refs: DataFrame, own_only: bool = False) -> DataFrame:
+def judged(features: DataFrame, refs: DataFrame) -> DataFrame:
     """Add char_distance, word_distance and kept."""
-    own = refs.filter("ref_lang IS NOT NULL").select("ref_lang", F.col("ref_classes").alias("own_classes"), F.col("ref_common").alias("own_common"))
-    all_ = refs.filter("ref_lang IS NULL").select("ref_classes")
-    # With own_only there are as many references as languages, not 1001.
-    out = (features.join(own if own_only else F.broadcast(own), features["lang"] == own["ref_lang"], "left").join(F.broadcast(all_), how="left")
-           .withColumn("_classes", F.coalesce("own_classes", "ref_classes"))
-           .withColumn("char_distance", F.when(F.col("word_chars") >= MIN_CHARS, distance("classes", "_classes")))
+    out = (features.join(refs, features["lang"] == refs["ref_lang"], "left")
+           .withColumn("char_distance", F.when(F.col("word_chars") >= MIN_CHARS, distance("classes", "ref_classes")))
            .withColumn("word_distance", F.when((F.col("n_words") >= MIN_JUDGED_WORDS) & (F.size("common") > 1),
-                                               distance("common", "own_common"))))
+                                               distance("common", "ref_common"))))
     far = (F.coalesce(F.col("char_distance"), F.lit(0.0)) > MAX_CHAR_DISTANCE) | (
         F.coalesce(F.col("word_distance"), F.lit(0.0)) > MAX_WORD_DISTANCE + WORD_NOISE / F.sqrt("n_words"))
     return out.withColumn("kept", ~F.col("base_failed") & ~far)
@@ -170,14 +154,14 @@ def quality_report(docs: DataFrame) -> DataFrame:
     return judged(features, references(features)).select(*REPORT, "char_distance", "word_distance")
 
 
-def accepted(docs: DataFrame, own_only: bool = False) -> DataFrame:
+def accepted(docs: DataFrame) -> DataFrame:
     """The rows of docs that are kept, with their own columns. The references
     come from a first pass; the verdict is made beside the text, without a
     join by id."""
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("text").cast("string").alias("text"),
                        F.col("lang").cast("string").alias("lang"))
-    refs = written(references(histograms(rows), own_only), "references")
-    verdicts = judged(base_features(histograms(rows)), refs, own_only)
+    refs = written(references(histograms(rows)), "references")
+    verdicts = judged(base_features(histograms(rows)), refs)
     # A filter would be pushed down, and with it all that the verdict is made
     # of would be computed again for each use; a generator is not.
     return (verdicts.select(F.explode(F.when(F.col("kept"), F.array("row")).otherwise(F.array().cast(
@@ -226,18 +210,16 @@ WITH d AS (
   SELECT f.*, coalesce(k, 0) AS k, n < {MIN_WORDS} OR 100 * coalesce(k, 0) > {MAX_REPEAT_PERCENT} * n AS failed
   FROM f LEFT JOIN covered USING (doc_id)
 ), ref AS (
-  SELECT lang, {sums("classes", len(classes) + 1)} AS ref, {sums("common", size)} AS ref_common FROM f WHERE n >= {MIN_WORDS}
-    AND lang IN (SELECT lang FROM f GROUP BY lang HAVING count(*) * {REFERENCE_SHARE} >= (SELECT count(*) FROM f)) GROUP BY lang
-), pooled AS (
-  SELECT {sums("classes", len(classes) + 1)} AS pooled FROM f WHERE n >= {MIN_WORDS}
+  SELECT lang, {sums("classes", len(classes) + 1)} AS ref, {sums("common", size)} AS ref_common FROM f
+  WHERE n >= {MIN_WORDS} GROUP BY lang
 ), near AS (
-  SELECT base.*, len(t) - classes[2] AS chars, {distance("classes", "coalesce(ref, pooled)")} AS char_distance,
+  SELECT base.*, len(t) - classes[2] AS chars, {distance("classes", "ref")} AS char_distance,
          {distance("common", "ref_common")} AS word_distance
-  FROM base LEFT JOIN ref USING (lang), pooled
+  FROM base LEFT JOIN ref USING (lang)
 )
 SELECT doc_id, n AS n_words, chars AS word_chars, classes[3] AS n_symbols, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
        k AS n_repeat_words, failed AS base_failed,
-       NOT failed AND NOT (chars >= {MIN_CHARS} AND char_distance > {MAX_CHAR_DISTANCE})
+       NOT failed AND NOT (chars >= {MIN_CHARS} AND coalesce(char_distance, 0) > {MAX_CHAR_DISTANCE})
          AND NOT (n >= {MIN_JUDGED_WORDS} AND len(common) > 1 AND coalesce(word_distance, 0) > {MAX_WORD_DISTANCE} + {WORD_NOISE} / sqrt(n)) AS kept
 FROM near
 """

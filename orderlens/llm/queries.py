@@ -3,13 +3,13 @@ SQL can express."""
 
 from __future__ import annotations
 
-import corpus_pipeline
 from orderlens.llm.jaccard import OP2_SQL, op2_jaccard
 from orderlens.llm.lexicon import op10_bpe
 from orderlens.llm.licenses import op4_licences
 from orderlens.llm.linededup import OP3_SQL, op3_line_dedup
 from orderlens.llm.packing import op9_packing
 from orderlens.llm.periodicruns import op13_periodic_runs
+from orderlens.llm.pipeline import run
 from orderlens.llm.prefixtrie import OP11_SQL, op11_prefix_trie
 from orderlens.llm.quality import OP6_SQL, op6_quality
 from orderlens.llm.secretscan import op8_secrets
@@ -32,7 +32,7 @@ QUERIES = {
     "op11_prefix_trie": op11_prefix_trie,
     "op12_warc": op12_warc,
     "op13_periodic_runs": op13_periodic_runs,
-    "pipeline": corpus_pipeline.run,
+    "pipeline": run,
 }
 
 ORACLE: dict[str, str] = {

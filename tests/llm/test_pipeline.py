@@ -80,3 +80,14 @@ def test_stage_results_on_their_own(spark):
     assert C.near_duplicates(spark, twice, "").count() == 1
     masked = C.secret_scan(spark, spark.createDataFrame([(1, "x password=abcdefgh1 y", "en", "s", 22)], COLUMNS), "").first()
     assert (masked.text, masked.n_chars) == ("x [SECRET] y", 12)
+
+
+def test_near_duplicates_with_clashing_columns(spark):
+    """Extra columns may have any name; rows that repeat an id and a text are one."""
+    text = " ".join(f"word{i}" for i in range(80))
+    rows = [(1, text), (2, text + " end"), (2, text + " end"), (3, "another text " + " ".join(f"x{i}" for i in range(60))), (3, None), (None, text), (4, "")]
+    extra = ["_d", "_h", "id", "row", "gone", "again", "text_hash", "component_id", "a.b"]
+    df = spark.createDataFrame([(*r, *extra) for r in rows], "doc_id long, text string, " + ", ".join(f"`{c}` string" for c in extra))
+    got = C.near_duplicates(spark, df, "")
+    assert got.columns == df.columns
+    assert sorted((str(r[0]), str(r[1])[:7]) for r in got.collect()) == [("1", "word0 w"), ("3", "None"), ("3", "another"), ("4", ""), ("None", "word0 w")]

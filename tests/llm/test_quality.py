@@ -49,14 +49,11 @@ def brute(rows):
     """(doc_id, text, lang) -> doc_id, base features, kept."""
     add = lambda hs: [sum(x) for x in zip(*hs)]
     made = [(d, t, lang, base(t), *histograms(t, lang)) for d, t, lang in rows]
-    langs = Counter(lang for _, _, lang in rows)
-    everything = add([m[4] for m in made if m[3][0] >= Q.MIN_WORDS])
     out = []
     for d, _, lang, features, classes, common in made:
         like = [m for m in made if m[2] == lang and m[3][0] >= Q.MIN_WORDS]
-        own = lang is not None and langs[lang] * Q.REFERENCE_SHARE >= len(rows)
-        ref, ref_common = (add([m[4] for m in like]), add([m[5] for m in like])) if own and like else ([], [])
-        far = features[1] >= Q.MIN_CHARS and distance(classes, ref or everything) > Q.MAX_CHAR_DISTANCE
+        ref, ref_common = (add([m[4] for m in like]), add([m[5] for m in like])) if lang is not None and like else ([], [])
+        far = features[1] >= Q.MIN_CHARS and distance(classes, ref) > Q.MAX_CHAR_DISTANCE
         if features[0] >= Q.MIN_JUDGED_WORDS and len(common) > 1:
             far |= distance(common, ref_common) > Q.MAX_WORD_DISTANCE + Q.WORD_NOISE / math.sqrt(features[0])
         out.append((d, *features, not features[-1] and not far))
@@ -94,7 +91,7 @@ def test_pipeline_keeps_clean_documents_of_rare_languages(spark):
     russian = " ".join(f"слово{'абвгде'[i % 6]}{'жзиклмн'[i % 7]}" + "опрст"[i % 5] * (1 + i // 42) for i in range(120))
     junk = " ".join(f"%{i}%#" * 2 for i in range(120))
     rows = [(i, english, "en") for i in range(3000)] + [(5000, russian, "ru"), (5001, russian, None)]
-    rows += [(6000 + i, russian, "bg") for i in range(Q.MIN_REFERENCE + 2)] + [(9000, junk, "en"), (9001, "short", "ru")]
+    rows += [(6000 + i, russian, "bg") for i in range(3)] + [(9000, junk, "en"), (9001, "short", "ru")]
     # Beside them so much English that bg has under a thousandth.
     docs = spark.createDataFrame([(*r, "x", "y", "z") for r in rows], SCHEMA)
     many = spark.range(10_000, 120_000).selectExpr("id AS doc_id", "'few words' AS text", "'en' AS lang", "'x' AS kept", "'y' AS n_words", "'z' AS row")
@@ -102,6 +99,18 @@ def test_pipeline_keeps_clean_documents_of_rare_languages(spark):
     assert kept == {r[0] for r in rows if r[0] < 9000}
 
 
+def test_verdicts_of_a_doubled_table(spark):
+    """The same documents twice, and beside many others, get the same verdicts."""
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang").collect()]
+    rows += [(50_000, " ".join(f"ещё{i} слово{i % 50}" for i in range(90)), "ru"), (50_001, "plain words " + " ".join(f"w{i}" for i in range(90)), None)]
+    df = spark.createDataFrame([(*r, "x", "y", "z") for r in rows], SCHEMA)
+    other = spark.range(200_000, 320_000).selectExpr("id AS doc_id", "'few words' AS text", "'en' AS lang", "'x' AS kept", "'y' AS n_words", "'z' AS row")
+    again = df.unionByName(df.withColumn("doc_id", df.doc_id + 100_000)).unionByName(other)
+    once = {r.doc_id: r.kept for r in Q.quality_report(df).collect()}
+    twice = {r.doc_id: r.kept for r in Q.quality_report(again).filter("doc_id < 200000").collect()}
+    assert twice == {**once, **{k + 100_000: v for k, v in once.items()}} and (once[50_000], once[50_001]) == (True, True)
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert Q.quality_report(df).count() == 0 and Q.accepted(df).count() == 0

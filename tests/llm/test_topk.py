@@ -49,12 +49,19 @@ def test_blocks_are_skipped(monkeypatch):
     """A block whose bound is below the k-th best score is not read."""
     import numpy as np
 
-    class Counted:
+    class Counted(np.ndarray):
+        """Weights that count how often they are multiplied."""
         reads = 0
 
-    far = np.full((4, 2), -100)
+        def astype(self, *a, **k):
+            type(self).reads += 1
+            return super().astype(*a, **k).view(np.ndarray)
+
+    far = np.full((4, 2), -100).view(Counted)
     near = np.array([[9, 9], [8, 8]])
     q = (np.array([0]), np.array([[1, 1]]))
     pack = lambda ids, w: (np.array(ids), w, w.max(axis=0)[None], w.min(axis=0)[None])
     at, ids, scores = K.best_of_cell(q, [pack([5, 6, 7, 8], far), pack([1, 2], near)], 2)
-    assert ids.tolist() == [1, 2] and scores.tolist() == [18, 16]
+    assert ids.tolist() == [1, 2] and scores.tolist() == [18, 16] and Counted.reads == 0
+    K.best_of_cell(q, [pack([5, 6, 7, 8], far), pack([1], near[:1])], 2)        # the second best is in the far block
+    assert Counted.reads == 1
