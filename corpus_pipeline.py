@@ -1,82 +1,8 @@
-"""A training corpus from the documents table, stage by stage.
-
-Every stage is a function (spark, docs, sf_dir) -> DataFrame; its result is
-written and read back as the next stage's docs. All stages but the last return
-the columns of documents.
-
-1. quality_rules: documents that the rules reject go; without a reference of
-   their own language the base rules alone decide.
-2. line_dedup: later copies of runs of lines go, and documents of which
-   nothing is left.
-3. near_duplicates: of each group of near duplicates the smallest id stays.
-4. secret_scan: secrets are masked in the text.
-5. packing: documents become token sequences (one row per piece).
-"""
+"""A training corpus from the documents table, stage by stage: the stages and
+their code are in ``orderlens.llm.pipeline``."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from orderlens.llm.jaccard import jaccard_components
-from orderlens.llm.linededup import dedup_lines
-from orderlens.llm.packing import pack_documents
-from orderlens.llm.quality import accepted
-from orderlens.llm.secretscan import redacted
-from orderlens.llm.shared import table, written
-
-WORD = r"[^\x20\x09-\x0D]"
-
-
-def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return accepted(docs, own_only=True)
-
-
-def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    out = dedup_lines(docs).filter((F.col("n_removed") == 0) | F.col("text").rlike(WORD))
-    changed = F.col("n_removed") > 0
-    new = {"text": F.when(changed, F.col("text")).otherwise(F.col("row.text")),
-           "n_chars": F.when(changed, F.length("text")).otherwise(F.col("row.n_chars"))} if "n_chars" in docs.columns else {
-           "text": F.when(changed, F.col("text")).otherwise(F.col("row.text"))}
-    return out.select(*[(new[c].cast(t) if c in new else F.col(f"row.`{c}`")).alias(c) for c, t in docs.dtypes])
-
-
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = written(jaccard_components(docs), "groups")
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).distinct()
-    text_hash = F.xxhash64(F.col("text").cast("string"))
-    kept = docs.join(gone, (docs["doc_id"].cast("long") == F.col("_d")) & (text_hash == F.col("_h")), "left_anti")
-    # Rows that stand more than once under one id are one document.
-    repeated = found.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_d"))
-    if repeated.isEmpty():
-        return kept
-    once = kept.join(repeated, kept["doc_id"].cast("long") == F.col("_d"), "left_semi").dropDuplicates(["doc_id", "text"])
-    return kept.join(repeated, kept["doc_id"].cast("long") == F.col("_d"), "left_anti").unionByName(once)
-
-
-def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return redacted(docs)
-
-
-def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return pack_documents(docs)
-
-
-STAGES = [
-    ("quality_rules", quality_rules),
-    ("line_dedup", line_dedup),
-    ("near_duplicates", near_duplicates),
-    ("secret_scan", secret_scan),
-    ("packing", packing),
-]
-
-# Tokens of a vocabulary file and cut signatures are beyond SQL: tested
-# against brute force instead.
-ORACLE_SQL = None
-
+from orderlens.llm.pipeline import ORACLE_SQL, STAGES, line_dedup, near_duplicates, packing, quality_rules, run, secret_scan
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
-    return STAGES[-1][1](spark, docs, sf_dir)
+__all__ = ["ORACLE_SQL", "STAGES", "line_dedup", "near_duplicates", "packing", "quality_rules", "run", "secret_scan"]
