@@ -1,18 +1,28 @@
-"""Line dedup over runs of lines, in SQL functions only.
-
-The lines that hold a word form a sequence per document. Prefix doubling names
-every run of 1, 2, 4, ... lines: the name of 2^(k+1) lines is the hash of the
-names of their halves, so equal runs have equal names anywhere in the corpus
-without a global rank; runs with one name are a bucket of the suffix array at
-that depth. The suffixes that agree on their first L lines, an interval of
-common prefix L, share the names of the two overlapping runs of 2^k lines
-(2^k <= L < 2^(k+1)) that cover them.
+"""Line dedup by a suffix array over line-id sequences, in SQL functions only.
+
+The lines that hold a word form a sequence per document. A line that occurs
+once in the corpus is in no repeated run, so the suffix array holds the
+suffixes that start with a repeated line, each cut where its next unique line
+stands, or after the line at which ``MIN_WORDS`` words beyond its first line
+are reached: no run that decides a deletion is longer than that.
+
+* Ranks by prefix doubling (``suffix_ranks``): a suffix's rank is one more
+  than the number of suffixes before its class. Classes of equal first 2^k
+  lines are split by the rank of the suffix 2^k lines on: (rank, next rank) is
+  counted over the corpus, put in order over range partitions and joined back.
+  What is alone in its class, or ends, keeps its rank.
+* Longest common prefixes (``suffix_array``): the suffixes are sorted by rank
+  over range partitions, and each is compared with the one before it, over the
+  partitions' borders too.
+* Intervals (``repeated_runs``): at depth n an interval ends where the common
+  prefix is below n; breaks are counted by a running total spread over tasks.
+  An interval of two suffixes or more is a repeated run of n lines with a first
+  place (by document id, then line) and a number of copies. For each suffix the
+  depths from MIN_WORDS words on are looked at; the deepest interval in which
+  it is not the first is its maximal run, and its lines are deleted.
 
 A run of ``MIN_WORDS`` words or more with an equal run earlier (by document id,
-then place; the two may overlap) is a later copy, and its lines are deleted.
-For that it is enough to look at the shortest runs that reach MIN_WORDS words
-from each line forwards and from each line backwards: any longer repeated run
-is covered by such runs inside it, and they are repeated with it.
+then place; the two may overlap) is a later copy.
 
 Edge cases: a null text stays null, an empty one empty; lines without a word
 take no part and stay; rows with one
@@ -24,66 +34,117 @@ further columns are kept.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderlens.llm.shared import table, written
+from orderlens.operators.prefix import running_total
 
 MIN_WORDS = 50
 _SPACE = r"[\\x20\\x09-\\x0D]"
+_SUFFIX = ["doc_id", "text_hash", "nth"]
+ROW_BITS = 33          # of monotonically_increasing_id: the row inside its partition
 
 
-def _levels(min_words: int) -> int:
-    """Doubling steps: a run is at most min_words lines long."""
-    return max(1, min_words).bit_length()
-
-
-def windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """docs (doc_id, text) -> one row per shortest run: name, doc_id,
-    text_hash, nth (the run's first line with a word), lines (their numbers in
-    the text)."""
+def line_suffixes(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """docs (doc_id, text) -> one row per line with a word: doc_id, text_hash,
+    nth, line (its id), reach (lines until min_words words, 0 if the document
+    has fewer), places (line numbers in the text) and head (hashes) of the
+    lines up to the cut by words."""
     lines = (docs.filter("doc_id IS NOT NULL AND text IS NOT NULL")
              .select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.expr(
                  f"filter(transform(split(text, '\\n'), (x, i) -> named_struct('i', i, 'x', x, "
                  f"'w', size(filter(split(x, '{_SPACE}+'), w -> w <> '')))), s -> s.w > 0)").alias("lines"))
-             .withColumn("m", F.size("lines"))
-             .withColumn("n0", F.expr("transform(lines, s -> unhex(md5(s.x)))"))
+             .withColumn("m", F.size("lines")).filter("m > 0")
+             .withColumn("ids", F.expr("transform(lines, s -> unhex(md5(s.x)))"))
+             .withColumn("hashes", F.expr("transform(lines, s -> xxhash64(s.x))"))
              .withColumn("sizes", F.expr("transform(lines, s -> CAST(s.w AS LONG))"))
-             .withColumn("places", F.expr("transform(lines, s -> s.i)")).drop("lines"))
-    top = _levels(min_words)
-    for k in range(top - 1):
-        step = 1 << k
-        lines = lines.withColumn(f"n{k + 1}", F.expr(
-            f"zip_with(slice(n{k}, 1, greatest(size(n{k}) - {step}, 0)), slice(n{k}, {step + 1}, greatest(size(n{k}) - {step}, 0)), "
-            "(a, b) -> unhex(md5(concat(a, b))))"))
-    # Length of the shortest run from line i on that reaches min_words words
-    # (0: there is none), and of the shortest that ends with line i.
-    reach = ("aggregate(slice({words}, {start}, {some}), named_struct('n', 0, 's', 0L), "
+             .withColumn("numbers", F.expr("transform(lines, s -> s.i)")).drop("lines"))
+    reach = (f"aggregate(slice(sizes, i + 1, {min_words}), named_struct('n', 0, 's', 0L), "
              f"(a, w) -> CASE WHEN a.s >= {min_words} THEN a ELSE named_struct('n', a.n + 1, 's', a.s + w) END, "
              f"a -> CASE WHEN a.s >= {min_words} THEN a.n ELSE 0 END)")
-    forward = reach.format(words="sizes", start="i + 1", some=min_words)
-    backward = reach.format(words="_back", start="m - i", some=min_words)
-    lines = (lines.withColumn("_back", F.reverse("sizes")).withColumn("_seq", F.expr("IF(m > 0, sequence(0, m - 1), array())"))
-             .withColumn("f", F.expr(f"transform(_seq, i -> {forward})"))
-             .withColumn("b", F.expr(f"transform(_seq, i -> {backward})")))
-    pick = "CASE " + " ".join(
-        f"WHEN r.n < {2 << k} THEN concat(get(n{k}, r.i), get(n{k}, r.i + r.n - {1 << k}))" for k in range(top)) + " END"
-    runs = ("concat(transform(filter(_seq, i -> f[i] > 0), i -> named_struct('i', i, 'n', f[i])), "
-            "transform(filter(_seq, i -> b[i] > 0 AND f[i - b[i] + 1] <> b[i]), i -> named_struct('i', i - b[i] + 1, 'n', b[i])))")
-    return (lines.withColumn("runs", F.expr(runs))
+    depth = "IF(coalesce(get(reaches, i + 1), 0) > 0, 1 + reaches[i + 1], m - i)"
+    return (lines.withColumn("seq", F.expr("sequence(0, m - 1)")).withColumn("reaches", F.expr(f"transform(seq, i -> {reach})"))
+            .withColumn("depths", F.expr(f"transform(seq, i -> {depth})"))
             .select("doc_id", "text_hash", F.expr(
-                f"inline(transform(runs, r -> named_struct('name', unhex(md5(concat({pick}, CAST(CAST(r.n AS STRING) AS BINARY)))), "
-                "'nth', r.i, 'lines', slice(places, r.i + 1, r.n))))")))
+                "inline(transform(seq, i -> named_struct('nth', i, 'line', ids[i], 'reach', reaches[i], "
+                "'places', slice(numbers, i + 1, depths[i]), 'head', slice(hashes, i + 1, depths[i]))))")))
+
+
+def suffix_ranks(suffixes: DataFrame) -> DataFrame:
+    """Suffixes that start with a repeated line (doc_id, text_hash, nth, line,
+    depth) -> doc_id, text_hash, nth, rank."""
+    counts = suffixes.groupBy("line").agg(F.count(F.lit(1)).alias("members"))
+    ranked = running_total(counts, [], [F.col("line")], F.col("members"), "before")
+    state = written(suffixes.join(ranked, "line").select(*_SUFFIX, "depth", (F.col("before") + 1).alias("rank"),
+                                                         (F.col("members") == 1).alias("done")), "ranks")
+    step = 1
+    while not state.filter("NOT done").isEmpty():
+        ahead = Window.partitionBy("doc_id", "text_hash").orderBy("nth").rangeBetween(step, step)
+        # Nothing there (the end or a unique line), or beyond the cut: 0, before all ranks.
+        following = F.when(F.col("depth") > step, F.coalesce(F.first("rank").over(ahead), F.lit(0))).otherwise(F.lit(0)).cast("long")
+        paired = written(state.withColumn("following", following), "pairs")
+        open_ = paired.filter("NOT done")
+        classes = open_.groupBy("rank", "following").agg(F.count(F.lit(1)).alias("members"))
+        split = running_total(classes, ["rank"], [F.col("following")], F.col("members"), "before")
+        again = (open_.join(split, ["rank", "following"])
+                 .select(*_SUFFIX, "depth", (F.col("rank") + F.col("before")).alias("rank"),
+                         ((F.col("members") == 1) | (F.col("following") == 0)).alias("done")))
+        state = written(again.unionByName(paired.filter("done").drop("following")), "ranks")
+        step *= 2
+    return state.select(*_SUFFIX, "rank")
+
+
+def suffix_array(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """docs (doc_id, text) -> the suffixes from which min_words words are
+    reached, in suffix order: place (struct of doc_id, text_hash, nth), at (its
+    order), reach, places, depth, lcp (lines in common with the one before)."""
+    found = written(line_suffixes(docs, min_words), "lines")
+    # Exact repeats of a row are one document, so that a row repeated many
+    # times makes no large group.
+    repeated = found.groupBy("line").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("line")
+    suffixes = written(found.join(repeated, "line").dropDuplicates(_SUFFIX).withColumn("depth", F.size("head")), "suffixes")
+    ranks = suffix_ranks(suffixes.select(*_SUFFIX, "line", "depth"))
+    order = ["rank", *_SUFFIX]
+    rows = (suffixes.filter("reach > 0").join(ranks, _SUFFIX)
+            .select("rank", *_SUFFIX, "reach", "places", "head")
+            .repartitionByRange(*order).sortWithinPartitions(*order)
+            .withColumn("at", F.monotonically_increasing_id()))
+    rows = written(rows, "order").withColumn("part", F.shiftright("at", ROW_BITS))
+    ends = rows.groupBy("part").agg(F.max_by("head", "at").alias("last"))      # a row per partition
+    ends = ends.select(F.col("part").alias("_part"), F.lag("last").over(Window.orderBy("part")).alias("border"))
+    rows = (rows.withColumn("before", F.lag("head").over(Window.partitionBy("part").orderBy("at")))
+            .join(F.broadcast(ends), F.col("part") == F.col("_part"))
+            .withColumn("before", F.coalesce("before", "border", F.array().cast("array<bigint>"))))
+    differ = F.expr("array_position(zip_with(head, before, (a, b) -> coalesce(a = b, false)), false)")
+    lcp = F.when(differ == 0, F.size("head")).otherwise(differ - 1).cast("int")
+    return rows.select(F.struct(*_SUFFIX).alias("place"), "at", "reach", "places", F.size("head").alias("depth"), lcp.alias("lcp"))
+
+
+def suffix_intervals(array: DataFrame) -> DataFrame:
+    """suffix_array -> a row per suffix and depth from ``reach`` on: n (lines),
+    interval, place, lines (their numbers in the text)."""
+    deep = array.select("place", "at", "places", "lcp", F.explode(F.expr("sequence(reach, depth)")).alias("n"))
+    breaks = (F.col("lcp") < F.col("n")).cast("long")
+    return (running_total(deep, ["n"], [F.col("at")], breaks, "before")
+            .select("n", (F.col("before") + breaks).alias("interval"), "place", F.expr("slice(places, 1, n)").alias("lines")))
+
+
+def repeated_runs(intervals: DataFrame) -> DataFrame:
+    """suffix_intervals -> one row per run of n lines that occurs twice or
+    more: n, interval, first (place), copies."""
+    return (intervals.groupBy("n", "interval").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("copies"))
+            .filter("copies > 1"))
 
 
 def later_copies(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """docs (doc_id, text) -> doc_id, text_hash, removed (line numbers)."""
-    runs = written(windows(docs, min_words), "runs")
-    place = F.struct("doc_id", "text_hash", "nth")
-    repeated = written(runs.groupBy("name").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-                       .filter("first < last").select("name", "first"), "repeated")
-    return (runs.join(repeated, "name").filter(place > F.col("first"))
-            .groupBy("doc_id", "text_hash").agg(F.array_distinct(F.flatten(F.collect_set("lines"))).alias("removed")))
+    intervals = written(suffix_intervals(suffix_array(docs, min_words)), "intervals")
+    runs = written(repeated_runs(intervals), "repeated")
+    longest = (intervals.join(runs.drop("copies"), ["n", "interval"]).filter(F.col("place") > F.col("first"))
+               .groupBy("place").agg(F.max_by("lines", "n").alias("lines")))
+    return (longest.groupBy("place.doc_id", "place.text_hash")
+            .agg(F.array_distinct(F.flatten(F.collect_list("lines"))).alias("removed")))
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
