@@ -34,6 +34,8 @@ further columns are kept.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -78,21 +80,24 @@ def suffix_ranks(suffixes: DataFrame) -> DataFrame:
     ranked = running_total(counts, [], [F.col("line")], F.col("members"), "before")
     state = written(suffixes.join(ranked, "line").select(*_SUFFIX, "depth", (F.col("before") + 1).alias("rank"),
                                                          (F.col("members") == 1).alias("done")), "ranks")
-    step = 1
+    settled, step = [], 1
+    document = Window.partitionBy("doc_id", "text_hash")
     while not state.filter("NOT done").isEmpty():
-        ahead = Window.partitionBy("doc_id", "text_hash").orderBy("nth").rangeBetween(step, step)
+        ahead = document.orderBy("nth").rangeBetween(step, step)
         # Nothing there (the end or a unique line), or beyond the cut: 0, before all ranks.
         following = F.when(F.col("depth") > step, F.coalesce(F.first("rank").over(ahead), F.lit(0))).otherwise(F.lit(0)).cast("long")
-        paired = written(state.withColumn("following", following), "pairs")
+        # Documents without an open suffix have their ranks and leave the rounds.
+        paired = written(state.withColumn("following", following).withColumn("busy", F.max(~F.col("done")).over(document)), "pairs")
+        settled.append(paired.filter("NOT busy").select(*_SUFFIX, "rank"))
         open_ = paired.filter("NOT done")
         classes = open_.groupBy("rank", "following").agg(F.count(F.lit(1)).alias("members"))
         split = running_total(classes, ["rank"], [F.col("following")], F.col("members"), "before")
         again = (open_.join(split, ["rank", "following"])
                  .select(*_SUFFIX, "depth", (F.col("rank") + F.col("before")).alias("rank"),
                          ((F.col("members") == 1) | (F.col("following") == 0)).alias("done")))
-        state = written(again.unionByName(paired.filter("done").drop("following")), "ranks")
+        state = written(again.unionByName(paired.filter("busy AND done").drop("following", "busy")), "ranks")
         step *= 2
-    return state.select(*_SUFFIX, "rank")
+    return reduce(DataFrame.unionByName, settled, state.select(*_SUFFIX, "rank"))
 
 
 def suffix_array(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
