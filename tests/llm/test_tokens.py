@@ -83,6 +83,11 @@ def test_empty_lexicon():
 def test_planes_round_trip(ids):
     ids = np.array(ids, np.uint32)
     assert np.array_equal(T.from_planes(T.to_planes(ids), len(ids)), ids)
+    blocks = T.to_planes(ids, 64)
+    assert len(blocks) == -(-len(ids) // 64)
+    for first, stop in [(0, 1), (63, 65), (100, 100), (64, 128), (130, 10**6)]:
+        read = [b if first // 64 <= k < -(-stop // 64) else None for k, b in enumerate(blocks)]     # the others are not looked at
+        assert np.array_equal(T.from_planes(read, len(ids), 64, first, stop), ids[first:stop])
 
 
 def test_token_file(spark, docs, tmp_path, monkeypatch):
@@ -97,6 +102,23 @@ def test_token_file(spark, docs, tmp_path, monkeypatch):
     assert all(zlib.crc32(r.ids) == r.ids_crc32 and len(r.ids) == 4 * r.n_tokens for r in got)
 
 
+def test_reading_a_stretch_of_ids(spark, docs, tmp_path):
+    path = str(tmp_path / "t")
+    T.write_token_file(docs, path, block=64, chunk_ids=200)
+    whole = b"".join(bytes(r.ids) for r in T.read_token_file(spark, path, keep_ids=True).orderBy("start").collect())
+    n = len(whole) // 4
+    for first, stop in [(0, n), (1, 2), (n // 3, n // 2), (n - 5, n + 100), (n, n + 1), (7, 7)]:
+        got = T.read_token_ids(spark, path, first, stop).orderBy("start").collect()
+        assert b"".join(bytes(r.ids) for r in got) == whole[4 * first:4 * stop]
+        assert all(r.n_ids * 4 == len(r.ids) for r in got)
+    index = spark.read.parquet(f"{path}/index").collect()
+    chunks = {(r.part, r.chunk): r.planes for r in spark.read.parquet(f"{path}/chunks").collect()}
+    assert len(chunks) > len({part for part, _ in chunks}) and not T.read_token_ids(spark, path, 7, 7).collect()
+    assert all([[len(p) for p in b] for b in chunks[r.part, r.chunk]] == r.plane_bytes for r in index)
+    with pytest.raises(ValueError):
+        T.write_token_file(docs, path, block=100)
+
+
 def test_token_file_of_no_documents(spark, docs, tmp_path):
     T.write_token_file(docs.limit(0), str(tmp_path / "t"))
     assert T.read_token_file(spark, str(tmp_path / "t")).count() == 0
