@@ -83,13 +83,63 @@ def test_keys_of_lower_or_upper_case_and_uuids(spark):
 
 def test_step_up_against_the_definition():
     rng = random.Random(2)
-    for _ in range(50):
-        p = [rng.choice([rng.random(), rng.random() ** 6, 0.0]) for _ in range(rng.randint(1, 40))]
-        levels = [S.level(x) for x in p]
-        grid = sorted(2.0 ** (-x / S.GRID) for x in levels)
-        k = max((i + 1 for i, x in enumerate(grid) if x <= S.ALPHA * (i + 1) / len(grid)), default=0)
-        limit = S.step_up([("f", x, levels.count(x)) for x in set(levels)]).get("f", S.TOP_LEVEL + 1)
-        assert sum(x >= limit for x in levels) == k
+    for name in ("base64/9", "hex/10", "base36/8"):
+        null = S.null_levels(name)
+        for _ in range(50):
+            levels = [S.level(rng.choice([rng.random(), rng.random() ** 6, 0.0])) for _ in range(rng.randint(1, 40))]
+            p = sorted(null[x] for x in levels)
+            k = max((i + 1 for i, x in enumerate(p) if x <= S.ALPHA * (i + 1) / len(p)), default=0)
+            limit = S.step_up([(name, x, levels.count(x)) for x in set(levels)]).get(name, -1)
+            assert sum(x <= limit for x in levels) == k
+
+
+def test_null_levels_against_the_definition():
+    n = 32
+    drawn = S.null_tokens("base64", n, S.DRAWS, S.np.random.default_rng([n, 64]))
+    levels = [S.level(S.p_value("".join(S._BASE64[x] for x in row), "base64")) for row in drawn]
+    null = S.null_levels("base64/10")
+    for at in (0, 1, 5, 20, 60, 200, S.TOP_LEVEL):
+        assert null[at] == (1 + sum(x <= at for x in levels)) / (1 + len(levels))
+
+
+def words_and_numbers(rng, n):
+    """An identifier of capitalised words and numbers, not drawn from the null model."""
+    words = "Order Customer Total Index Region Vector Return Window Stream Record Bucket Status Update Remote Handle Parser".split()
+    out = ""
+    while len(out) < n:
+        out += rng.choice(words) if rng.random() < 0.7 else str(rng.randint(10, 2030))
+    return out + rng.choice("0123456789") + "a"
+
+
+def test_patterned_tokens_among_the_reported(spark):
+    """A hundred keys among four hundred patterned tokens: keys are found, and
+    patterned tokens are few of what is reported, for each kind of pattern."""
+    rng = random.Random(11)
+    null = ["".join(S._BASE64[x] for x in row) for row in S.null_tokens("base64", 40, 1500, S.np.random.default_rng(5))]
+    for patterned in (null[:400], [words_and_numbers(rng, 36) for _ in range(400)]):
+        keys = [key(rng, 40) for _ in range(100)]
+        df = spark.createDataFrame([(i, t, "", 0, "") for i, t in enumerate(keys + patterned)], SCHEMA)
+        found = [r.doc_id for r in S.secret_spans(df).collect() if any(s.kind == "random" for s in r.spans)]
+        wrong = sum(i >= 100 for i in found)
+        assert len(found) - wrong >= 85 and wrong <= 0.1 * len(found)
+
+
+def test_length_decides(spark):
+    """The longer keys are, the more of them are found; among patterned tokens of
+    eight symbols hardly any. Ordinary short tokens with digits are left alone."""
+    rng = random.Random(12)
+    share = {}
+    for n in (8, 16, 24, 40):
+        rows = [(i, f"a {key(rng, n - 3)}aB1 z", "", 0, "") for i in range(100)]
+        share[n] = sum(any(s.kind == "random" for s in r.spans) for r in S.secret_spans(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert share[8] < 50 <= share[16] and share[24] >= 85 and share[40] >= 85
+    null = ["".join(S._BASE64[x] for x in row) for row in S.null_tokens("base64", 8, 4000, S.np.random.default_rng(6))][:400]
+    rows = [(i, t, "", 0, "") for i, t in enumerate([key(rng, 5) + "aB1" for _ in range(100)] + null)]
+    found = [r.doc_id for r in S.secret_spans(spark.createDataFrame(rows, SCHEMA)).collect() if any(s.kind == "random" for s in r.spans)]
+    assert sum(i >= 100 for i in found) <= max(3, 0.1 * len(found))
+    plain = ["iPhone12pro", "Windows10Pro", "2024Q3Report", "abc12345", "version2release", "covid19cases", "ISO8859part1", "deadbeef01"]
+    rows = [(i, t, "", 0, "") for i, t in enumerate(plain)]
+    assert not any(r.spans for r in S.secret_spans(spark.createDataFrame(rows, SCHEMA)).collect())
 
 
 def test_p_values():
