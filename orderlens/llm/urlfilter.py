@@ -1,7 +1,11 @@
 """URL filters: rules first, then gradient-boosted trees.
 
 A rule is a host (or a suffix of it) and the start of a path, with a verdict;
-the rule with the longest host and path wins. URLs that no rule fits are
+the rule with the longest host wins, among those the one with the longest path,
+and ``block`` where two are equal. Rules are a list or a table of any size:
+each distinct host and path asks for its host suffixes, and for the starts of
+its path at the lengths that rules of such a suffix have, so that rules are
+found by joins on equal keys. URLs that no rule fits are
 judged by gradient-boosted trees on lexical features (length, depth, digit
 ratio, entropy, parameters, host labels, and how often URLs of the same host
 suffix were allowed). The rates of the suffixes come from all URLs that a rule
@@ -13,14 +17,15 @@ Edge cases: a null url, or one without ``://``, has an empty host and path,
 fits no rule and is judged by the trees like any other; without labelled URLs
 of both verdicts the one verdict there is (``allow`` if there is none) goes
 to all; urls of any length are read whole; repeated rows are judged each; an
-empty table gives no rows; further columns are ignored.
+empty table gives no rows; further columns are ignored. Rules with a null fit
+nothing; without rules all URLs are judged by the trees.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.llm.shared import table, written
@@ -51,14 +56,26 @@ def parsed(pages: DataFrame) -> DataFrame:
             .withColumn("path", F.regexp_extract("_rest", r"(?s)^[^/?#]*([^?#]*)", 1)).drop("_rest"))
 
 
+def rule_table(spark: SparkSession, rules) -> DataFrame:
+    """Rules as rows (verdict, rule_host, rule_start), one per host and start."""
+    if not isinstance(rules, DataFrame):
+        rules = spark.createDataFrame([tuple(r) for r in rules], "verdict string, host string, start string")
+    return (rules.select("verdict", F.col("host").alias("rule_host"), F.col("start").alias("rule_start"))
+            .filter("verdict IS NOT NULL").groupBy("rule_host", "rule_start").agg(F.max("verdict").alias("rule_verdict")))
+
+
 def ruled(rows: DataFrame, rules=RULES) -> DataFrame:
     """Add rule (host and path start, like ``net/es/``) and rule_verdict."""
-    out: Column = F.lit(None).cast("struct<rule: string, verdict: string>")
-    best = F.when(F.lit(False), out)
-    for verdict, host, start in sorted(rules, key=lambda r: (len(r[1]), len(r[2])), reverse=True):
-        fits = ((F.col("host") == host) | F.endswith("host", F.lit("." + host))) & F.startswith("path", F.lit(start))
-        best = best.when(fits, F.struct(F.lit(host + start).alias("rule"), F.lit(verdict).alias("verdict")))
-    return rows.withColumn("_r", best).withColumn("rule", F.col("_r.rule")).withColumn("rule_verdict", F.col("_r.verdict")).drop("_r")
+    known = rule_table(rows.sparkSession, rules)
+    lengths = known.select("rule_host", F.length("rule_start").alias("_n")).distinct()
+    labels = F.split("host", r"\.")
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    asked = (rows.select("host", "path").distinct().withColumn("rule_host", F.explode(suffixes)).join(lengths, "rule_host")
+             .filter(F.length("path") >= F.col("_n")).withColumn("rule_start", F.expr("substring(path, 1, _n)")))
+    best = (asked.join(known, ["rule_host", "rule_start"]).groupBy("host", "path")
+            .agg(F.max(F.struct(F.length("rule_host").alias("h"), "_n", F.concat("rule_host", "rule_start").alias("rule"), "rule_verdict")).alias("_r"))
+            .select("host", "path", "_r.rule", "_r.rule_verdict"))
+    return rows.join(best, ["host", "path"], "left")
 
 
 def lexical(rows: DataFrame) -> DataFrame:

@@ -1,3 +1,7 @@
+import math
+import random
+import re
+
 from orderlens.llm import urlfilter as U
 
 SCHEMA = "page_id long, url string, host string, rule string, label string, features string"
@@ -13,8 +17,8 @@ def parse(url):
     return host, rest[:min([rest.index(c) for c in "?#" if c in rest], default=len(rest))]
 
 
-def rule_of(host, path):
-    fits = [(len(h), len(p), h + p, v) for v, h, p in U.RULES if (host == h or host.endswith("." + h)) and path.startswith(p)]
+def rule_of(host, path, rules=U.RULES):
+    fits = [(len(h), len(p), h + p, v) for v, h, p in rules if (host == h or host.endswith("." + h)) and path.startswith(p)]
     return max(fits)[2:] if fits else (None, None)
 
 
@@ -39,6 +43,45 @@ def test_rules_and_edges(spark):
     check(spark, URLS + URLS)
 
 
+def test_rules_as_a_table(spark):
+    """Thousands of rules, many of one host, nested starts and equal rules of both verdicts."""
+    rng = random.Random(4)
+    hosts = ["com", "a.com", "b.a.com", "net", "x.net", "org", ""]
+    rules = [(rng.choice(["allow", "block"]), rng.choice(hosts), "/" + "/".join(rng.choice("pqr") for _ in range(rng.randint(0, 5)))) for _ in range(1500)]
+    rules += [("allow", "com", f"/{i}/") for i in range(2000)] + [("block", "com", "/7/"), ("allow", "com", "")]
+    urls = [f"http://{rng.choice(['', 'w.', 'v.w.'])}{rng.choice(hosts[:-1])}/" + "/".join(rng.choice("pqr7") for _ in range(rng.randint(0, 6))) for _ in range(400)]
+    urls += URLS + [f"http://com/{i}/x" for i in range(0, 2000, 97)] + ["http://com/7/", "http://.com/p", "http://a..com/p"]
+    table = spark.createDataFrame([*rules, ("allow", None, "/"), ("block", "net", None), (None, "org", "/")], "verdict string, host string, start string")
+    df = spark.createDataFrame([(i, u, *["clash"] * 4) for i, u in enumerate(urls)], SCHEMA)
+    got = {r.page_id: r for r in U.ruled(U.parsed(df.select("page_id", "url")), table).collect()}
+    assert len(got) == len(urls)
+    for i, u in enumerate(urls):
+        assert (got[i].rule, got[i].rule_verdict) == rule_of(*parse(u), rules), u
+    none = U.ruled(U.parsed(df.select("page_id", "url")), table.limit(0))
+    assert none.count() == len(urls) and none.filter("rule IS NOT NULL OR rule_verdict IS NOT NULL").count() == 0
+
+
+def features(url):
+    u = url or ""
+    host, path = parse(url)
+    query = re.search(r"\?([^#]*)", u)
+    query = query[1] if query else ""
+    n = len(u)
+    return (n, len(host), len(path), sum(x != "" for x in path.split("/")), sum(x != "" for x in host.split(".")),
+            len(re.findall("[0-9]", u)) / n if n else 0, -sum(u.count(c) / n * math.log2(u.count(c) / n) for c in set(u)),
+            sum(x != "" for x in query.split("&")), len(query), float("#" in u))
+
+
+def test_features_against_brute_force(spark):
+    urls = URLS + ["http://a.b.c.net/x//y/?a=1&&b=2#f?c=3", "http://h/🙂🙂é?🙂=1&q", "http://h?x?y=1&z", "1234567890"]
+    df = spark.createDataFrame([(i, u, *["c"] * 4) for i, u in enumerate(urls)], SCHEMA)
+    for r in U.lexical(U.parsed(df.select("page_id", "url"))).collect():
+        want = features(urls[r.page_id])
+        got = [r[f] for f in U.FEATURES if f != "f_suffix"]
+        assert all(abs(a - b) < 1e-9 for a, b in zip(got, want, strict=True)), (urls[r.page_id], got, want)
+        assert r["suffix"] == r["host"].split(".")[-1]
+
+
 def test_one_verdict_only(spark):
     got = check(spark, ["http://a.com/", "http://b.com/x", "http://c.org/"])
     assert got[2].verdict == "allow"
