@@ -51,6 +51,8 @@ WORDS = 5
 GROUP = 32
 PAIRS = 4096
 BUCKET_SIGNATURES = 300_000
+BUCKET_DELETIONS = 1_000_000
+CELLS = 512
 BAND_RATIO = 1.75
 _TEXT_BYTES = 4_000_000
 _SPACES = np.zeros(256, bool)
@@ -205,7 +207,8 @@ def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 # class << 1 | lower band), the same where the task has found the signature
 # shared by many, links, shared signatures, and how many signatures more than
 # needed a class has.
-SIGN, MANY, LINK, HELD, MORE, UNSETTLED = 0, 1, 2, 3, 4, 5
+# CELL: classes, and the size and cells of each.
+SIGN, MANY, LINK, HELD, MORE, UNSETTLED, CELL = 0, 1, 2, 3, 4, 5, 6
 
 
 def signature_rows(docs: DataFrame, buckets: int, words: int, group: int) -> DataFrame:
@@ -336,15 +339,33 @@ def meet(group: int):
 
 # --- one-deletion neighbourhoods -------------------------------------------
 
-def deletion_rows(sets: DataFrame, buckets: int) -> DataFrame:
-    """(dk, sh, shared, c) -> rows for the buckets from the classes whose other
+def cells(s: np.ndarray) -> np.ndarray:
+    """The universe cut into ``CELLS`` cells, and of each whether a set has an
+    odd number of its elements: as many words of 64 bits as hold them. An
+    element in one of two sets only changes one cell, so that sets differ in at
+    least as many elements as cells."""
+    odd = np.bincount((_mix(s ^ np.uint64(0x3C3C3C3C3C3C3C3C)) % np.uint64(CELLS)).astype(np.int64), minlength=CELLS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
+
+
+def may_link(n: np.ndarray, cell: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which of the pairs (x, y) of sets with these sizes and cells may differ
+    in so few elements as similar sets do; similar ones always may."""
+    differ = np.maximum(np.bitwise_count(cell[x] ^ cell[y]).sum(axis=1, dtype=np.int64), np.abs(n[x] - n[y]))
+    return 9 * differ <= n[x] + n[y]
+
+
+def deletion_rows(sets: DataFrame, signature_buckets: int, buckets: int) -> DataFrame:
+    """(dk, sh, shared, c), shared as of so many buckets of signatures -> rows
+    for the buckets from the classes whose other
     signatures are too few: SIGN rows with y = class << 1 | asks, component c,
-    and LEFT rows for classes that cannot be settled this way."""
+    a CELL row for the classes of a bucket, and LEFT rows for classes that
+    cannot be settled this way."""
     step = np.uint64(0x1357), np.uint64(0x2468)
 
     def make(batches):
         for b in batches:
-            rows, sig, d = [], [], []
+            rows, sig, d, keys, cell = [], [], [], [], []
             for key, sh, shared, c in zip(*(b.column(i).to_pylist() for i in range(4))):
                 s = np.frombuffer(sh, "<u8")
                 shared = np.array(shared, np.int64)
@@ -354,7 +375,7 @@ def deletion_rows(sets: DataFrame, buckets: int) -> DataFrame:
                     if not len(which):
                         continue
                     seg = Segments(s, n, band)
-                    bucket, low = _bucketed(seg.signature, buckets)
+                    bucket, low = _bucketed(seg.signature, signature_buckets)
                     free = ~np.isin(bucket << 32 | low, shared)
                     short = int(need[0]) - int(free.sum())
                     if short <= 0:
@@ -375,22 +396,37 @@ def deletion_rows(sets: DataFrame, buckets: int) -> DataFrame:
                         sig += asks
                         d.append(np.tile((key << 1 | 1, c), (sum(map(len, asks)), 1)))
                 if answers:
+                    keys.append(key)
+                    cell.append(np.concatenate((n, cells(s).view(np.int64))))
                     rows.append((key % buckets, MORE if min(answers) else UNSETTLED, np.array([key]).tobytes(), np.array([min(answers)]).tobytes()))
             if sig:
-                rows += _scatter(np.concatenate(sig), np.concatenate(d), SIGN, buckets)
+                sig, d = np.concatenate(sig), np.concatenate(d)
+                rows += _scatter(sig, d, SIGN, buckets)
+                keys, cell = np.array(keys), np.stack(cell)
+                order = np.argsort(keys)
+                keys, cell = keys[order], cell[order]
+                there = np.unique(_bucketed(sig, buckets)[0] * len(keys) + np.searchsorted(keys, d[:, 0] >> 1))
+                at, size = _runs(there // len(keys))
+                for a, z in zip(at.tolist(), (at + size).tolist()):
+                    i = there[a:z] % len(keys)
+                    rows.append((int(there[a] // len(keys)), CELL, keys[i].tobytes(), cell[i].tobytes()))
             yield _row_batch(rows)
 
     return sets.mapInArrow(make, _ROWS)
 
 
 def meet_deletions(pairs: int):
-    """The work of one bucket of offers and requests."""
+    """The work of one bucket of offers and requests. Pairs that differ in too
+    many cells to be similar are not given."""
     def work(t: pa.Table) -> pa.Table:
-        sig, d, left, more = [], [], [], [np.zeros((0, 2), np.int64)]
+        sig, d, left, more, keys, cell = [], [], [], [np.zeros((0, 2), np.int64)], [], []
         for _, kind, x, y in _table_rows(t):
             if kind == SIGN:
                 sig.append(np.frombuffer(x, np.uint32))
                 d.append(np.frombuffer(y, np.int64))
+            elif kind == CELL:
+                keys.append(np.frombuffer(x, np.int64))
+                cell.append(np.frombuffer(y, np.int64).reshape(len(keys[-1]), -1))
             elif kind == MORE:
                 more.append(np.stack((np.frombuffer(x, np.int64), np.frombuffer(y, np.int64)), 1))
             else:
@@ -403,6 +439,9 @@ def meet_deletions(pairs: int):
             new = np.ones(len(sig), bool)
             new[1:] = (sig[1:] != sig[:-1]) | (d[1:] != d[:-1])
             sig, d, c = sig[new], d[new], c[new]
+            keys, first = np.unique(np.concatenate(keys), return_index=True)
+            cell = np.concatenate(cell)[first]
+            n, cell, own = cell[:, 0], np.ascontiguousarray(cell[:, 1:]).view(np.uint64), np.searchsorted(keys, d >> 1)
             at, size = _runs(sig)
             asks = np.add.reduceat(d & 1, at)
             mixed = np.minimum.reduceat(c, at) != np.maximum.reduceat(c, at)       # not of one component yet
@@ -416,7 +455,8 @@ def meet_deletions(pairs: int):
                     left.append(run[ask] >> 1)
                 else:
                     x, y = np.nonzero(of[ask][:, None] != of[offer][None, :])
-                    other.append((run[ask[x]] & ~1, run[offer[y]]))
+                    may = may_link(n, cell, own[at[i] + ask[x]], own[at[i] + offer[y]])
+                    other.append((run[ask[x[may]]] & ~1, run[offer[y[may]]]))
         gone = np.unique(np.concatenate(left)) if left else np.zeros(0, np.int64)
         more = np.concatenate(more)
         return _found([(LEFT, gone, gone, gone), (SPARE, more[:, 0], more[:, 1], more[:, 1]), *_counted(PAIR, other)])
@@ -481,7 +521,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def rare_pairs(left: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs of classes (a, b) of different components among ``left`` (dk)
     that share one of their rarest elements there (as many as may be missing,
-    and one more)."""
+    and one more) so early that what follows may be enough."""
     def explode(batches):
         for b in batches:
             sets_ = [np.frombuffer(x, "<i8") for x in b.column(1).to_pylist()]
@@ -494,15 +534,16 @@ def rare_pairs(left: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame
     often = written(rows.groupBy("e").agg(F.count("*").alias("f")), "often")
     rank = F.row_number().over(Window.partitionBy("dk").orderBy("f", "e"))
     prefix = (rows.join(often.filter("f > 1"), "e", "left").withColumn("f", F.coalesce("f", F.lit(1)))
-              .withColumn("r", rank).filter("r <= n - ceil(0.8 * n) + 1 AND f > 1").select("dk", "e"))
+              .withColumn("r", rank).filter("r <= n - ceil(0.8 * n) + 1 AND f > 1").select("dk", "n", "r", "e"))
     own = sets.join(labels, "dk", "left").select("dk", F.coalesce("c", "rep").alias("c"))
     marked = written(prefix.join(own, "dk"), "prefix")
     # Elements that meet in one component only are done with.
     mixed = written(marked.groupBy("e").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).filter("c1 < c2").select("e"), "mixed")
     there = written(marked.join(mixed, "e"), "there")
-    other = there.select("e", F.col("dk").alias("b"), F.col("c").alias("c2"))
-    return (there.select("e", F.col("dk").alias("a"), "c").join(other, "e").filter("c <> c2 AND a < b")
-            .select("a", "b").distinct())
+    other = there.select("e", F.col("dk").alias("b"), F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("r").alias("r2"))
+    # Of the first element that two share, the rest of either holds all others.
+    return (there.select("e", F.col("dk").alias("a"), "c", "n", "r").join(other, "e")
+            .filter("c <> c2 AND a < b AND 9 * (1 + least(n - r, n2 - r2)) >= 4 * (n + n2)").select("a", "b").distinct())
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, group: int = GROUP, pairs: int = PAIRS) -> DataFrame:
@@ -550,7 +591,8 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, group: int = GROUP,
         label = _labels(links, sets)
         asking = (sets.join(shared, "dk").join(label, "dk", "left")
                   .select("dk", "sh", "shared", F.coalesce("c", "rep").alias("c")))
-        near = written(deletion_rows(asking, buckets).groupBy("bucket").applyInArrow(meet_deletions(pairs), _OUT), "near")
+        asked = asking.agg(F.sum(F.octet_length("sh"))).first()[0] or 0         # 8 bytes an element, some 5 signatures
+        near = written(deletion_rows(asking, buckets, asked * 5 // 8 // BUCKET_DELETIONS + 1).groupBy("bucket").applyInArrow(meet_deletions(pairs), _OUT), "near")
         left = written(near.filter(F.col("kind") == LEFT).select(F.col("a").alias("dk")).distinct(), "left")
         # Answers that a settled class must get, and that an unsettled one may.
         least = (near.filter(F.col("kind") == SPARE).groupBy(F.col("a").alias("dk")).agg(F.min("b").alias("must"))

@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from orderlens.llm import jaccard as J
@@ -110,3 +111,32 @@ def test_components_of_a_chain(spark):
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 150: 150, 200: 150}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_cells_never_part_similar_sets():
+    """Sets that differ in few enough elements may always link; sets with a
+    passage in common and too much besides hardly ever do."""
+    rng = np.random.default_rng(5)
+    sets = [rng.integers(1, 1 << 63, k).astype(np.uint64) for k in (9, 40, 300, 4000) for _ in range(20)]
+    pairs = [(s, np.concatenate((s[len(s) // 10:], rng.integers(1, 1 << 63, len(s) // 10).astype(np.uint64)))) for s in sets]
+    n = np.array([len(s) for p in pairs for s in p])
+    cell = np.stack([J.cells(s) for p in pairs for s in p])
+    at = np.arange(0, len(n), 2)
+    assert J.may_link(n, cell, at, at + 1).all()
+    passage = rng.integers(1, 1 << 63, 85).astype(np.uint64)
+    others = [np.concatenate((passage, rng.integers(1, 1 << 63, 15).astype(np.uint64))) for _ in range(200)]
+    i, j = np.triu_indices(200, 1)
+    assert J.may_link(np.full(200, 100), np.stack([J.cells(s) for s in others]), i, j).mean() < 0.05
+
+
+def test_a_passage_in_many_documents_gives_few_pairs(spark, monkeypatch):
+    """240 documents of a passage and 14 to 18 shingles of their own: none are
+    similar, and their pairs do not leave the buckets (28,680 did)."""
+    rng = random.Random(8)
+    passage = [rng.choice(WORDS) for _ in range(90)]
+    rows = [(i, " ".join([*passage, *(f"own{i}x{k}" for k in range(rng.randint(14, 18)))])) for i in range(240)]
+    met, keep = [], J.written
+    monkeypatch.setattr(J, "written", lambda df, name: met.append((name, keep(df, name))) or met[-1][1])
+    check(spark, rows, pairs=1 << 20)
+    near = [df for name, df in met if name == "near"]
+    assert len(near) == 1 and near[0].filter(near[0].kind == J.PAIR).count() <= 240
