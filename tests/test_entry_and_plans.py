@@ -121,3 +121,10 @@ def test_tables_are_checked_on_load(spark, tmp_path):
     spark.createDataFrame([(1,)], "c_custkey long").write.parquet(str(tmp_path / "customer.parquet"))
     with pytest.raises(ValueError, match="c_mktsegment"):
         read_table(spark, str(tmp_path), "customer")
+
+
+@pytest.mark.skipif(not os.path.isdir(SMALL), reason="test data not present")
+def test_ingredient_texts_are_moved_by_the_order_alone(large_tables):
+    """No shuffle of lines or texts by their lists."""
+    plan = _plan(QUERIES["ingredient_list_text"](large_tables, SMALL))
+    assert not re.search(r"Exchange hashpartitioning\([^)]*(exclusions|extras)", plan)
