@@ -20,7 +20,8 @@ partners may be small enough, in the next lower band's.
    element, and asks for more than it needs, the cheapest (smallest) first; a
    segment that may be met with one element missing on either side counts
    twice. What it asks for beyond its need is, halved, the least number of
-   answers that a similar class gives.
+   answers that a similar class gives. Pairs that differ in more cells of the
+   universe than similar sets may are not given.
 4. What that leaves (mostly sets of widely shared elements) is matched among
    itself by the elements that are rarest there.
 
