@@ -41,7 +41,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from orderlens.llm.components import components
@@ -54,6 +54,7 @@ PAIRS = 4096
 BUCKET_SIGNATURES = 300_000
 BUCKET_DELETIONS = 1_000_000
 CELLS = 512
+COMMON = 100_000
 BAND_RATIO = 1.75
 _TEXT_BYTES = 4_000_000
 _SPACES = np.zeros(256, bool)
@@ -522,29 +523,90 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def rare_pairs(left: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
     """Pairs of classes (a, b) of different components among ``left`` (dk)
     that share one of their rarest elements there (as many as may be missing,
-    and one more) so early that what follows may be enough."""
-    def explode(batches):
+    and one more) so early that what follows may be enough.
+
+    The order: elements that one component alone has there (no such pair
+    shares them), then the others, the rarest first. The commonest, fewer than
+    ``COMMON``, are known to every task, so that of a set only those that may
+    still be among its rarest are moved."""
+    def elements(batches):
         for b in batches:
-            sets_ = [np.frombuffer(x, "<i8") for x in b.column(1).to_pylist()]
-            count = np.array([len(s) for s in sets_], np.int64)
-            if len(sets_):
-                yield pa.record_batch([pa.array(np.repeat(np.array(b.column(0)), count)), pa.array(np.repeat(count, count)),
-                                       pa.array(np.concatenate(sets_))], names=["dk", "n", "e"])
-
-    rows = written(sets.join(left, "dk").select("dk", "sh").mapInArrow(explode, "dk long, n long, e long"), "elements")
-    often = written(rows.groupBy("e").agg(F.count("*").alias("f")), "often")
-    rank = F.row_number().over(Window.partitionBy("dk").orderBy("f", "e"))
-    prefix = (rows.join(often.filter("f > 1"), "e", "left").withColumn("f", F.coalesce("f", F.lit(1)))
-              .withColumn("r", rank).filter("r <= n - ceil(0.8 * n) + 1 AND f > 1").select("dk", "n", "r", "e"))
-    own = sets.join(labels, "dk", "left").select("dk", F.coalesce("c", "rep").alias("c"))
-    marked = written(prefix.join(own, "dk"), "prefix")
+            sets_ = [np.frombuffer(x, "<i8") for x in b.column(2).to_pylist()]
+            if sets_:
+                of = pa.array(np.repeat(np.arange(len(sets_)), [len(s) for s in sets_]))
+                yield pa.record_batch([b.column(0).take(of), b.column(1).take(of), pa.array(np.concatenate(sets_))], names=["dk", "c", "e"])
+
+    own = sets.join(left, "dk").join(labels, "dk", "left").select("dk", F.coalesce("c", "rep").alias("c"), "n", "sh")
+    often = written(own.select("dk", "c", "sh").mapInArrow(elements, "dk long, c long, e long").groupBy("e")
+                    .agg(F.count("*").alias("f"), F.min("dk").alias("dk"), (F.min("c") < F.max("c")).alias("mixed")), "often")
+    # A class with more elements of its own than a similar one may lack is done with.
+    alone = often.filter("f = 1").groupBy("dk").agg(F.count("*").alias("u"))
+    some = own.join(alone, "dk", "left").withColumn("u", F.coalesce("u", F.lit(0).cast("long"))).filter("u <= n div 5")
+    bound = max(1, (often.agg(F.sum("f")).first()[0] or 0) // COMMON)
+    known = often.sparkSession.sparkContext.broadcast(_ranked(often.filter(F.col("f") > bound).select("e", "f", "mixed").toArrow()))
+    rows = written(some.select("dk", "c", "n", "u", "sh").mapInArrow(lambda batches: _early(batches, *known.value), _EARLY), "elements")
+    less = rows.filter("h < 0").join(often.filter(F.col("f").between(2, bound)).select("e", "f", "mixed"), "e")
+    more = rows.filter("h >= 0").withColumns({"f": F.lit(0).cast("long"), "mixed": F.lit(True)})
+    rank = F.row_number().over(Window.partitionBy("dk").orderBy("mixed", "h", "f", "e"))
+    marked = written(less.unionByName(more).withColumn("r", F.col("u") + rank)
+                     .filter("r <= n div 5 + 1 AND mixed").select("dk", "c", "n", "r", "e"), "prefix")
     # Elements that meet in one component only are done with.
     mixed = written(marked.groupBy("e").agg(F.min("c").alias("c1"), F.max("c").alias("c2")).filter("c1 < c2").select("e"), "mixed")
-    there = written(marked.join(mixed, "e"), "there")
-    other = there.select("e", F.col("dk").alias("b"), F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("r").alias("r2"))
-    # Of the first element that two share, the rest of either holds all others.
-    return (there.select("e", F.col("dk").alias("a"), "c", "n", "r").join(other, "e")
-            .filter("c <> c2 AND a < b AND 9 * (1 + least(n - r, n2 - r2)) >= 4 * (n + n2)").select("a", "b").distinct())
+    # Of the first element that two share, the rest of either holds all others:
+    # so many that the other one has ``most`` elements at most. The smaller one
+    # looks among the sizes from its own to that.
+    there = written(marked.join(mixed, "e").withColumn("most", F.expr("9 * (1 + n - r) div 4 - n")), "there")
+    small = (there.filter("most >= n").withColumn("size", F.explode(F.sequence(_size_band("n"), _size_band("most"))))
+             .select("e", "size", F.col("dk").alias("a"), "c", "n", "most"))
+    large = there.select("e", _size_band("n").alias("size"), F.col("dk").alias("b"), F.col("c").alias("c2"),
+                         F.col("n").alias("n2"), F.col("most").alias("most2"))
+    return (small.join(large, ["e", "size"])
+            .filter("c <> c2 AND n2 <= most AND n <= most2 AND (n < n2 OR n = n2 AND a < b)")
+            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+
+
+_EARLY = "dk long, c long, n long, u long, e long, h long"
+
+
+def _ranked(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(e, f, mixed) -> elements in ascending order, and of each whether it is
+    mixed and its place by frequency."""
+    e, f, mixed = (t.column(c).to_numpy() for c in ("e", "f", "mixed"))
+    place = np.empty(len(e), np.int64)
+    place[np.lexsort((e, f))] = np.arange(len(e))
+    order = np.argsort(e)
+    return e[order], mixed[order].astype(bool), place[order]
+
+
+def _early(batches, common: np.ndarray, mixed: np.ndarray, place: np.ndarray):
+    """Sets (dk, c, n, u, sh) -> the elements that may be among their rarest:
+    those not common (h = -1), and as many mixed common ones (h: their place) as
+    fit behind the ``u`` elements that are a component's own, common ones now
+    included."""
+    for b in batches:
+        out = []
+        for dk, c, n, u, sh in zip(*(b.column(i).to_pylist() for i in range(5))):
+            s = np.frombuffer(sh, "<i8")
+            at = np.minimum(np.searchsorted(common, s), max(0, len(common) - 1))
+            known = common[at] == s if len(common) else np.zeros(len(s), bool)
+            u += int((~mixed[at[known]]).sum())
+            if u > n // 5:
+                continue
+            h = np.full(len(s), -1)
+            h[known] = np.where(mixed[at[known]], place[at[known]], -2)
+            late = np.sort(h[h >= 0])[n // 5 + 1 - u:]
+            keep = (h == -1) | ((h >= 0) & (h < late[0] if len(late) else h >= 0))
+            out.append((s[keep], h[keep], (dk, c, n, u)))
+        if out:
+            count = [len(s) for s, _, _ in out]
+            head = np.repeat(np.array([x for _, _, x in out], np.int64), count, axis=0)
+            columns = [*head.T, np.concatenate([s for s, _, _ in out]), np.concatenate([h for _, h, _ in out])]
+            yield pa.record_batch([pa.array(x, pa.int64()) for x in columns], names=["dk", "c", "n", "u", "e", "h"])
+
+
+def _size_band(n: str) -> Column:
+    """Sizes in bands some 4 % wide, so that few sizes meet at one element."""
+    return F.floor(F.log(F.col(n).cast("double")) * 25).cast("int")
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, group: int = GROUP, pairs: int = PAIRS) -> DataFrame:

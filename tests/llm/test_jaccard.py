@@ -140,3 +140,32 @@ def test_a_passage_in_many_documents_gives_few_pairs(spark, monkeypatch):
     check(spark, rows, pairs=1 << 20)
     near = [df for name, df in met if name == "near"]
     assert len(near) == 1 and near[0].filter(near[0].kind == J.PAIR).count() <= 240
+
+
+@pytest.mark.parametrize("common", [1, 50, 100_000])
+def test_rarest_elements_of_many_sizes(spark, monkeypatch, common):
+    """A passage in texts of all sizes, similar or not: all go through the
+    rarest elements, of which none, some or all are known to every task."""
+    rng = random.Random(common)
+    passage = [rng.choice(WORDS) for _ in range(70)]
+    texts = [" ".join([*passage[rng.choice([0, 0, 3, 9]):rng.choice([58, 62, 66, 70])], *(f"own{i}x{k}" for k in range(rng.randint(0, 16)))])
+             for i in range(90)]
+    texts += [" ".join([*passage, *tail]) for tail in ([f"t{j}x{k}" for k in range(6 + j)] for j in range(6)) for _ in range(2)]
+    texts += [t + " more" for t in texts[-12:]] + family(rng, 12, 80, 3, WORDS) + [t[:-40] for t in family(rng, 8, 70, 2, WORDS)]
+    rng.shuffle(texts)
+    monkeypatch.setattr(J, "COMMON", common, raising=False)
+    check(spark, list(enumerate(texts)), group=2, pairs=1)
+
+
+def test_sets_are_not_moved_whole_to_find_their_rarest_elements(spark, monkeypatch):
+    """240 sets of a passage and some elements of their own: none is moved
+    with more elements than may be its rarest (all of them were), and those
+    with more of their own than a similar set may lack meet in no pair."""
+    rng = random.Random(8)
+    passage = [rng.choice(WORDS) for _ in range(90)]
+    rows = [(i, " ".join([*passage, *(f"own{i}x{k}" for k in range(rng.randint(10, 30)))])) for i in range(240)]
+    met, keep = [], J.written
+    monkeypatch.setattr(J, "written", lambda df, name: met.append((name, keep(df, name))) or met[-1][1])
+    check(spark, rows, group=2, pairs=1)
+    moved = [df for name, df in met if name == "elements"]
+    assert len(moved) == 1 and 0 < moved[0].count() <= sum(len(shingles(t)) // 5 + 1 for _, t in rows)
