@@ -106,7 +106,7 @@ class RoleTables:
     @cached_property
     def customer_orders(self) -> DataFrame:
         from orderlens.operators.cleaning import clean_customer_orders
-        return clean_customer_orders(self.customer_orders_raw)
+        return of_orders(clean_customer_orders(order_lines_from(self._t("lineitem"))), self._t("orders"))
 
     @cached_property
     def runner_orders(self) -> DataFrame:
@@ -122,10 +122,10 @@ class RoleTables:
         return ratings_table(self.runner_orders, o)
 
 
-def customer_orders_from(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    """Raw (uncleaned) order lines from lineitem x orders."""
+def order_lines_from(lineitem: DataFrame) -> DataFrame:
+    """Raw (uncleaned) lines without what their order says. The lists are
+    written here, before the join of the orders: fewer columns are shuffled."""
     li = lineitem.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag")
-    o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
     sk = F.col("l_suppkey")
     ln = F.col("l_linenumber")
     exclusions = (F.when(ln == 1, F.lit(""))
@@ -138,15 +138,22 @@ def customer_orders_from(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     extras = (F.when(rf == "R", F.concat(_s((sk + 3) % 10), F.lit(", "), _s(sk)))
               .when(rf == "A", F.lit("null"))
               .otherwise(F.lit("")))
-    order_time = F.timestamp_add("MINUTE", (F.col("l_orderkey") % 1440).cast("int"), F.col("o_orderdate"))
-    return li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("l_partkey").alias("pizza_id"),
-        exclusions.alias("exclusions"),
-        extras.alias("extras"),
-        order_time.alias("order_time"),
-    )
+    return li.select(F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("pizza_id"),
+                     exclusions.alias("exclusions"), extras.alias("extras"))
+
+
+def of_orders(lines: DataFrame, orders: DataFrame) -> DataFrame:
+    """Lines with the customer and the time of their order."""
+    o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    order_time = F.timestamp_add("MINUTE", (F.col("order_id") % 1440).cast("int"), F.col("o_orderdate"))
+    return lines.join(o, F.col("order_id") == F.col("o_orderkey")).select(
+        "order_id", F.col("o_custkey").alias("customer_id"), "pizza_id", "exclusions", "extras",
+        order_time.alias("order_time"))
+
+
+def customer_orders_from(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
+    """Raw (uncleaned) order lines from lineitem x orders."""
+    return of_orders(order_lines_from(lineitem), orders)
 
 
 def runner_orders_from(orders: DataFrame) -> DataFrame:
